@@ -6,7 +6,7 @@ import importlib
 
 from plainloom.plans import catalog
 
-MODULES = ("basics", "profiling")
+MODULES = ("basics", "profiling", "text")
 
 
 def load():
