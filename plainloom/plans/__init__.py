@@ -6,7 +6,7 @@ import importlib
 
 from plainloom.plans import catalog
 
-MODULES = ("basics", "profiling", "text", "features")
+MODULES = ("basics", "profiling", "text", "features", "modelling")
 
 
 def load():
