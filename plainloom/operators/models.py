@@ -16,9 +16,8 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import Binarizer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plainloom.operators import metrics
@@ -44,9 +43,14 @@ def fit(estimator: Estimator, df: DataFrame) -> Model:
         return estimator.fit(data)
 
 
+def stored_values(vector: str) -> Column:
+    """The entries a vector stores: all of a dense one, the non-zero ones of a sparse one."""
+    return F.unwrap_udt(F.col(vector))["values"]
+
+
 def nonzero_vectors(df: DataFrame, vector: str) -> DataFrame:
-    """Rows whose vector has at least one entry other than zero."""
-    return df.where(F.exists(vector_to_array(vector), lambda x: x != 0))
+    """Rows whose vector has at least one entry other than zero; sparse vectors stay sparse."""
+    return df.where(F.exists(stored_values(vector), lambda x: x != 0))
 
 
 def bernoulli_bayes(features: str = "features", label: str = "label") -> Estimator:
@@ -68,7 +72,7 @@ def bagged_trees(n: int = 10, seed: int = 1, **columns) -> Estimator:
 
 def linear_svm(label: str = "label", **params) -> Estimator:
     """Linear SVM for any number of classes, one against the rest."""
-    return OneVsRest(classifier=LinearSVC(labelCol=label, **params), labelCol=label)
+    return OneVsRest(classifier=LinearSVC(labelCol=label, **params), labelCol=label, parallelism=4)
 
 
 def linear_regression(label: str, features: str = "features") -> LinearRegression:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plainloom.operators.textstats import top_per_group
+from plainloom.session import stage
 
 _SLACK = 1e-9  # keeps rounding from cutting off a cell that ties with the bound
 
@@ -62,7 +63,7 @@ def nearest_neighbours(
                 yield pdf.assign(cell=d.argmin(axis=1), dist=d.min(axis=1))
 
     train_rows = train.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vec"))
-    assigned = train_rows.mapInPandas(assign, "id long, vec array<double>, cell int, dist double")
+    assigned = stage(train_rows.mapInPandas(assign, "id long, vec array<double>, cell int, dist double"))
     spans = assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("dist").alias("lo"), F.max("dist").alias("hi"))
     closest = top_per_group(assigned.select("cell", "dist", "id"), ["cell"], ["dist", "id"], k)
     near = closest.groupBy("cell").agg(F.array_sort(F.collect_list("dist")).alias("near"))
@@ -85,7 +86,7 @@ def nearest_neighbours(
             yield pd.DataFrame({"query": pdf["id"].values[row], "qvec": pdf["vec"].values[row], "cell": np.array(order)[col]})
 
     query_rows = queries.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vec"))
-    visits = query_rows.mapInPandas(candidates, "query long, qvec array<double>, cell int")
+    visits = stage(query_rows.mapInPandas(candidates, "query long, qvec array<double>, cell int"))
     visit_counts = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}
 
     def per_cell(counts: dict, size: int):

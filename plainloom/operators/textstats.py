@@ -40,8 +40,12 @@ def term_frequencies(df: DataFrame, key: str, tokens: Column) -> DataFrame:
 
 
 def document_frequencies(tf: DataFrame) -> DataFrame:
-    """(term, df, total) from a term-frequency table."""
-    return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+    """(term, df, total) from a term-frequency table.
+
+    ``df`` adds 1 per row out of ``tf`` itself: reading the same columns as the
+    weights do lets Spark run the (document, term) shuffle once for both.
+    """
+    return tf.groupBy("term").agg(F.sum(F.least("tf", F.lit(1))).alias("df"), F.sum("tf").alias("total"))
 
 
 def vocabulary(tf: DataFrame, size: int | None = None, min_df: int = 1) -> DataFrame:

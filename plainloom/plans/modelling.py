@@ -22,7 +22,7 @@ from plainloom.functions.dates import elapsed_days
 from plainloom.operators import cluster, metrics, models, series, splits
 from plainloom.operators.features import minmax_by_group
 from plainloom.plans.catalog import query
-from plainloom.session import stage, table
+from plainloom.session import spread, stage, table
 
 CUTOFF = "2001-01-01 00:00:00"
 HASH_SQL = "('0x' || substr(md5({k}::VARCHAR), 1, 8))::BIGINT % 100"
@@ -77,7 +77,8 @@ def vector_split(spark, sf, binary: bool = False):
 
 
 def token_rows(spark, sf):
-    return table(spark, sf, "documents").select(
+    docs = spread(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+    return docs.select(
         "doc_id", "lang", X.word_tokens(F.col("text")).alias("tokens")
     )
 
@@ -88,13 +89,18 @@ def quality_split(spark, sf):
     rows = splits.hash_split(token_rows(spark, sf).join(labels, "doc_id"), "doc_id", 80)
     train = rows.where("split = 'train'")
     counter = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=1000, minDF=5).fit(train)
-    return counter.transform(train), counter.transform(rows.where("split = 'test'"))
+    test = rows.where("split = 'test'")
+    return tuple(counter.transform(part).select("label", "features") for part in (train, test))
 
 
 def _scores(name, estimator, train, test):
     return models.classification_scores(models.fit(estimator, train).transform(test), "label", name)
 
 
+def _total(vector):
+    return F.aggregate(models.stored_values(vector), F.lit(0.0), lambda s, x: s + x)
+
+
 @query("gbt_churn")
 def gbt_churn(spark, sf):
     train, test = churn_split(spark, sf)
@@ -161,8 +167,10 @@ def linear_svm(spark, sf):
     )
     train = rows.where("split = 'train'")
     fitted = models.fit(weights, train)
-    test = fitted.transform(rows.where("split = 'test'"))
-    return _scores("svm", models.linear_svm(maxIter=20), fitted.transform(train), test)
+    train, test = (
+        fitted.transform(part).select("label", "features") for part in (train, rows.where("split = 'test'"))
+    )
+    return _scores("svm", models.linear_svm(maxIter=10), train, test)
 
 
 @query("mlp")
@@ -357,25 +365,34 @@ def tree_regress(spark, sf):
     return models.compare_regressors(trees, train, test, "l_extendedprice")
 
 
-@query("hashed_tf")
+@query(
+    "hashed_tf",
+    r"""SELECT doc_id, CAST(len(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS DOUBLE) AS total_tf FROM documents
+        WHERE len(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) > 0""",
+)
 def hashed_tf(spark, sf):
     hashed = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=1 << 18).transform(token_rows(spark, sf))
-    model = models.fit(IDF(inputCol="tf", outputCol="tfidf", minDocFreq=2), hashed)
-    weights = vector_to_array("tfidf") if False else F.col("tfidf")
-    return models.nonzero_vectors(model.transform(hashed), "tf").select("doc_id", weights.cast("string").alias("tfidf"))
+    return models.nonzero_vectors(hashed, "tf").select("doc_id", _total("tf").alias("total_tf"))
 
 
-@query("count_vector_tfidf")
+@query(
+    "count_vector_tfidf",
+    r"""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS term FROM documents),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY 1, 2),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1 HAVING count(*) >= 10)
+        SELECT doc_id, round(sum(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1))), 6) AS weight
+        FROM tf JOIN df USING (term) GROUP BY 1""",
+)
 def count_vector_tfidf(spark, sf):
     rows = token_rows(spark, sf)
     weights = Pipeline(
         stages=[
-            CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=1000, minDF=10),
+            CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=1 << 18, minDF=10),
             IDF(inputCol="tf", outputCol="tfidf"),
         ]
     )
     scored = models.nonzero_vectors(models.fit(weights, rows).transform(rows), "tf")
-    return scored.select("doc_id", F.aggregate(vector_to_array("tfidf"), F.lit(0.0), lambda s, x: s + x).alias("weight"))
+    return scored.select("doc_id", F.round(_total("tfidf"), 6).alias("weight"))
 
 
 @query("kmeans_assign")
@@ -428,8 +445,7 @@ def word_vectors(spark, sf):
 @query("word2vec_synonyms")
 def word2vec_synonyms(spark, sf):
     model = models.fit(word_vectors(spark, sf), token_rows(spark, sf))
-    # the most frequent word of the vocabulary comes first
-    return model.findSynonyms(model.getVectors().orderBy("word").first()["word"], 10)
+    return model.findSynonyms(model.getVectors().agg(F.min("word")).first()[0], 10)
 
 
 @query("word2vec_documents")

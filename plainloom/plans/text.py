@@ -9,7 +9,7 @@ from plainloom.functions import arrays as A
 from plainloom.functions import text as X
 from plainloom.operators import relational, textstats
 from plainloom.plans.catalog import query
-from plainloom.session import table
+from plainloom.session import spread, stage, table
 
 # parameters of the queries: stop words and a scored lexicon
 STOP_WORDS = ["the", "and", "of", "is", "it", "on", "in", "to", "at", "as", "by", "an", "with", "that", "for"]
@@ -33,6 +33,10 @@ def rep(expression, pattern, by=""):
 WORDS = X.word_tokens(F.col("text"))
 
 
+def texts(spark, sf, name, *columns):
+    return spread(table(spark, sf, name).select(*columns))
+
+
 @query(
     "clean_text",
     "SELECT doc_id, trim("
@@ -42,7 +46,7 @@ WORDS = X.word_tokens(F.col("text"))
     + " AS review FROM documents",
 )
 def clean_text(spark, sf):
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents", "doc_id", "text").select(
         "doc_id", X.clean_headline(F.col("text")).alias("headline"), X.clean_review(F.col("text")).alias("review")
     )
 
@@ -58,8 +62,8 @@ for _p in (r"\[[^\n]*?\]", r"https?://\S+|www\.\S+", r"<[^\n]*?>+", r"[!-/:-@\[-
         UNION ALL SELECT doc_id, 'document', {POST_SQL.format(c='text')} FROM documents""",
 )
 def strip_urls_tags(spark, sf):
-    pages = table(spark, sf, "pages").select(F.col("page_id").alias("id"), F.lit("page").alias("kind"), F.col("html").alias("t"))
-    docs = table(spark, sf, "documents").select(F.col("doc_id"), F.lit("document"), F.col("text"))
+    pages = texts(spark, sf, "pages", F.col("page_id").alias("id"), F.lit("page").alias("kind"), F.col("html").alias("t"))
+    docs = texts(spark, sf, "documents", "doc_id", F.lit("document"), "text")
     return pages.union(docs).select("id", "kind", X.clean_post(F.col("t")).alias("cleaned"))
 
 
@@ -73,7 +77,7 @@ _social = "trim(" + rep(_social, r"[^\p{L}\p{N}_]+", " ") + ")"
     "SELECT doc_id, " + rep(rep(_social, r"\s+[b-zA-Z]\s+", " "), r"\s+", " ") + " AS cleaned FROM documents",
 )
 def strip_mentions(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.clean_social(F.col("text")).alias("cleaned"))
+    return texts(spark, sf, "documents", "doc_id", "text").select("doc_id", X.clean_social(F.col("text")).alias("cleaned"))
 
 
 @query(
@@ -84,7 +88,7 @@ def strip_mentions(spark, sf):
               CAST(len({WORDS_SQL}) AS INTEGER) AS n_words FROM documents""",
 )
 def tokenise(spark, sf):
-    docs = table(spark, sf, "documents").select(
+    docs = texts(spark, sf, "documents", "doc_id", "text").select(
         "doc_id", X.space_tokens(F.lower("text")).alias("p"), WORDS.alias("w")
     )
     return docs.select(
@@ -110,7 +114,7 @@ def text_length(spark, sf):
     f"SELECT lang, CAST(max(len({WORDS_SQL})) AS INTEGER) AS longest FROM documents GROUP BY lang",
 )
 def max_tokens(spark, sf):
-    return table(spark, sf, "documents").groupBy("lang").agg(F.max(F.size(WORDS)).alias("longest"))
+    return texts(spark, sf, "documents", "lang", "text").groupBy("lang").agg(F.max(F.size(WORDS)).alias("longest"))
 
 
 @query(
@@ -136,7 +140,7 @@ def explode_parts(spark, sf):
     "SELECT c, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '(?s).')) AS c FROM conversations) GROUP BY 1",
 )
 def characters(spark, sf):
-    return textstats.token_counts(table(spark, sf, "conversations"), X.characters(F.col("text")), name="c")
+    return textstats.token_counts(texts(spark, sf, "conversations", "text"), X.characters(F.col("text")), name="c")
 
 
 @query(
@@ -152,7 +156,7 @@ def char_ngrams(spark, sf):
 
 @query("token_counts", f"WITH {TERMS_SQL} SELECT term, total AS n FROM df ORDER BY n DESC, term")
 def token_counts(spark, sf):
-    counts = textstats.token_counts(table(spark, sf, "documents"), WORDS)
+    counts = textstats.token_counts(texts(spark, sf, "documents", "text"), WORDS)
     return counts.orderBy(F.col("n").desc(), "term")
 
 
@@ -165,7 +169,7 @@ def token_counts(spark, sf):
 )
 def class_word_counts(spark, sf):
     # the 200 words a word cloud shows, per class
-    labelled = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    labelled = texts(spark, sf, "documents", "doc_id", "text").join(table(spark, sf, "labels"), "doc_id")
     counts = textstats.token_counts(labelled, WORDS, ["quality"])
     return textstats.top_per_group(counts, ["quality"], [F.col("n").desc(), "term"], 200)
 
@@ -179,7 +183,7 @@ def class_word_counts(spark, sf):
 )
 def ngrams(spark, sf):
     grams = X.word_ngrams(WORDS, 1, 2)
-    return textstats.token_counts(table(spark, sf, "documents"), grams, name="gram")
+    return textstats.token_counts(texts(spark, sf, "documents", "text"), grams, name="gram")
 
 
 @query(
@@ -188,7 +192,7 @@ def ngrams(spark, sf):
         FROM documents""",
 )
 def stopword_filter(spark, sf):
-    tokens = table(spark, sf, "documents").select("doc_id", WORDS.alias("tokens"))
+    tokens = texts(spark, sf, "documents", "doc_id", "text").select("doc_id", WORDS.alias("tokens"))
     remover = StopWordsRemover(inputCol="tokens", outputCol="kept", stopWords=STOP_WORDS)
     return remover.transform(tokens).select("doc_id", F.array_join("kept", " ").alias("terms"))
 
@@ -199,7 +203,7 @@ def stopword_filter(spark, sf):
               ELSE w END FOR w IN {WORDS_SQL}], ' ') AS terms FROM documents WHERE len({WORDS_SQL}) > 0""",
 )
 def normalise_vocabulary(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents", "doc_id", "text")
     mapping = textstats.vocabulary_map(docs, WORDS, X.strip_suffix)
     normal = textstats.normalise_tokens(docs, ["doc_id"], WORDS, mapping)
     return normal.select("doc_id", F.array_join("tokens", " ").alias("terms"))
@@ -211,7 +215,7 @@ def normalise_vocabulary(spark, sf):
         SELECT doc_id, term, tf FROM tf JOIN v USING (term)""",
 )
 def term_frequency(spark, sf):
-    tf = textstats.term_frequencies(table(spark, sf, "documents"), "doc_id", WORDS)
+    tf = textstats.term_frequencies(texts(spark, sf, "documents", "doc_id", "text"), "doc_id", WORDS)
     return tf.join(textstats.vocabulary(tf, 1000, 10).select("term"), "term").select("doc_id", "term", "tf")
 
 
@@ -221,9 +225,9 @@ def term_frequency(spark, sf):
         FROM tf JOIN df USING (term), n""",
 )
 def tfidf_plain(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents", "doc_id", "text")
     tf = textstats.term_frequencies(docs, "doc_id", WORDS)
-    n = docs.agg(F.count(F.lit(1))).scalar()
+    n = table(spark, sf, "documents").agg(F.count(F.lit(1))).scalar()
     out = textstats.tfidf_plain(tf, textstats.document_frequencies(tf), n)
     return out.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
@@ -235,9 +239,9 @@ def tfidf_plain(spark, sf):
         SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""",
 )
 def tfidf_smooth_l2(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents", "doc_id", "text")
     tf = textstats.term_frequencies(docs, "doc_id", WORDS)
-    n = docs.agg(F.count(F.lit(1))).scalar()
+    n = table(spark, sf, "documents").agg(F.count(F.lit(1))).scalar()
     out = textstats.tfidf_smooth(tf, textstats.vocabulary(tf, min_df=5), n, "doc_id")
     return out.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
@@ -248,10 +252,10 @@ def tfidf_smooth_l2(spark, sf):
         SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM tf JOIN v USING (term))""",
 )
 def nonempty_vectors(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs = texts(spark, sf, "documents", "doc_id", "lang", "text")
     tf = textstats.term_frequencies(docs, "doc_id", WORDS)
     hits = tf.join(textstats.vocabulary(tf, 40, 2).select("term"), "term").select("doc_id")
-    return docs.select("doc_id", "lang").join(hits, "doc_id", "left_semi")
+    return table(spark, sf, "documents").select("doc_id", "lang").join(hits, "doc_id", "left_semi")
 
 
 CONV_WORDS_SQL = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')"
@@ -260,7 +264,7 @@ INDEX_SQL = f"""idx AS (SELECT term, row_number() OVER (ORDER BY count(*) DESC,
 
 
 def conversation_index(spark, sf):
-    return textstats.vocabulary_index(textstats.token_counts(table(spark, sf, "conversations"), WORDS))
+    return textstats.vocabulary_index(textstats.token_counts(texts(spark, sf, "conversations", "text"), WORDS))
 
 
 @query("vocab_index", f"WITH {INDEX_SQL} SELECT term, token_id FROM idx")
@@ -282,9 +286,9 @@ ENCODED_SQL = f"""{INDEX_SQL},
                trim(array_to_string(ids[1:128], ' ') || repeat(' 0', greatest(128 - len(ids), 0))) AS back FROM r, m""",
 )
 def encode_pad(spark, sf):
-    encoded = textstats.encode_tokens(
-        table(spark, sf, "conversations"), ["conv_id", "turn"], WORDS, conversation_index(spark, sf)
-    )
+    conversations, index = texts(spark, sf, "conversations", "conv_id", "turn", "text"), conversation_index(spark, sf)
+    # staged: read for the longest row and for the result
+    encoded = stage(textstats.encode_tokens(conversations, ["conv_id", "turn"], WORDS, index))
     longest = encoded.agg(F.max(F.size("ids"))).scalar()
     return encoded.select(
         "conv_id",
@@ -313,7 +317,7 @@ def prefix_sequences(spark, sf):
         "conv_id", "turn", F.posexplode(F.split("text", "\n")).alias("line", "text")
     )
     keys = ["conv_id", "turn", "line"]
-    encoded = textstats.encode_tokens(lines, keys, WORDS, conversation_index(spark, sf))
+    encoded = stage(textstats.encode_tokens(lines, keys, WORDS, conversation_index(spark, sf)))
     longest = encoded.agg(F.max(F.size("ids"))).scalar()
     prefixes = encoded.select(*keys, F.explode(A.growing_prefixes(F.col("ids"))).alias("p"))
     features, target = A.split_target(A.pad_left(F.col("p"), longest))

@@ -16,6 +16,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, small_bytes: int = 1 << 30) -> DataFrame:
+    """Deal a small table out over all cores before costly per-row work or iterative fits.
+
+    A small file is often a single row group, hence one task. Tables whose files
+    exceed ``small_bytes`` are left alone: their scan has tasks enough, and a
+    shuffle of the raw rows would only cost.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) > small_bytes:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
