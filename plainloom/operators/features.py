@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plainloom.operators.ordering import join_null_safe, number_rows
+from plainloom.operators.ordering import lookup, number_rows
 
 MAX_DUMMY_CATEGORIES = 1000
 
@@ -54,7 +54,7 @@ def minmax_by_group(df: DataFrame, column: str, by: Sequence[str], name: str) ->
     """Min-max scale inside each group, for example per train/test part."""
     ranges = df.groupBy(*by).agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
     span = F.when(F.col("_hi") == F.col("_lo"), 1.0).otherwise(F.col("_hi") - F.col("_lo"))
-    joined = join_null_safe(df, ranges, list(by))
+    joined = lookup(df, ranges, by, null_safe=True)
     return joined.withColumn(name, (F.col(column) - F.col("_lo")) / span).drop("_lo", "_hi")
 
 
@@ -81,4 +81,4 @@ def label_encode(df: DataFrame, column: str, name: str) -> DataFrame:
     """Alphabetical codes from 0; null stays null."""
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
     codes = number_rows(values, [], [column], "_p").select(column, (F.col("_p") - 1).alias(name))
-    return df.join(codes, column, "left")
+    return lookup(df, codes, [column], "left")

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plainloom.operators.ordering import lookup
 from plainloom.operators.quantiles import medians, modes
 
 
@@ -38,7 +39,7 @@ def fill_group(df: DataFrame, column: str, by: Sequence[str], stat: str) -> Data
     a window over the group would send a hot group to one task.
     """
     groups = _statistic(df.na.drop(subset=list(by)), column, by, stat)
-    filled = df.join(groups, list(by), "left").withColumn(column, F.coalesce(F.col(column), F.col("_fill")))
+    filled = lookup(df, groups, by, "left").withColumn(column, F.coalesce(F.col(column), F.col("_fill")))
     return filled.select(*df.columns)
 
 

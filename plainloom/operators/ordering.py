@@ -35,6 +35,19 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def lookup(
+    facts: DataFrame, derived: DataFrame, keys: Sequence[str], how: str = "inner", null_safe: bool = False
+) -> DataFrame:
+    """Join a big table with a derived one that is probably, but not surely, small.
+
+    The derived table is written first, so the planner knows its real size: under
+    the broadcast threshold the big table is not shuffled at all, above it the
+    join is a sort-merge whose skewed partitions Spark splits.
+    """
+    sized = stage(derived)
+    return join_null_safe(facts, sized, keys, how) if null_safe else facts.join(sized, list(keys), how)
+
+
 def largest_group(df: DataFrame, by: Sequence[str]) -> int:
     """Rows in the biggest group (a count per key, combined before the shuffle)."""
     if not by:
@@ -78,7 +91,7 @@ def number_rows(
         "_idx", F.col("_row").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     )
     starts = _starts(staged, by, F.count(F.lit(1)), F.min("_idx"))
-    out = join_null_safe(staged, starts, [*by, "_pid"]).withColumn(
+    out = lookup(staged, starts, [*by, "_pid"], null_safe=True).withColumn(
         name, F.col("_idx") - F.col("_first") + F.col("_before") + 1
     )
     if total:
@@ -101,7 +114,7 @@ def running_total(
     inside = Window.partitionBy(*by, "_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = staged.withColumn("_local", F.sum(weight).over(inside))
     return (
-        join_null_safe(local, starts, [*by, "_pid"])
+        lookup(local, starts, [*by, "_pid"], null_safe=True)
         .withColumn(name, F.col("_local") + F.col("_before"))
         .withColumnRenamed("_total", total)
         .drop("_pid", "_first", "_before", "_local")

@@ -117,8 +117,8 @@ def pooled_t(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def bin_index(x: Column, low: Column, high: Column, bins: int) -> Column:
     """Equal-width bin 0..bins-1; the last bin holds its upper edge; a constant goes to bin 0."""
-    position = F.floor((x - low) / F.nullif(high - low, F.lit(0.0)) * F.lit(bins))
-    return F.coalesce(F.least(position, F.lit(bins - 1)), F.lit(0)).cast("int")
+    position = F.least(F.floor((x - low) / F.nullif(high - low, F.lit(0.0)) * F.lit(bins)), F.lit(bins - 1))
+    return F.when(high > low, position).otherwise(0).cast("int")
 
 
 def histogram(df: DataFrame, column: str, bins: int, hue: str | None = None) -> DataFrame:

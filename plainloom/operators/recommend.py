@@ -43,12 +43,13 @@ def content_similarity(
     """TF-IDF cosine of every item with one anchor item; items sharing no term give 0.
 
     Only postings of the anchor's own terms are read on; no item pairs are formed.
+    What is broadcast is bounded by one item's text.
     """
     tf = term_frequencies(items, key, tokens)
     n = items.agg(F.count(F.lit(1))).scalar()
     weights = tfidf_smooth(tf, vocabulary(tf, min_df=min_df), n, key)
     mine = weights.where(F.col(key) == F.lit(anchor)).select("term", F.col("weight").alias("_a"))
-    hits = weights.join(mine, "term").groupBy(key).agg(F.sum(F.col("weight") * F.col("_a")).alias("_s"))
+    hits = weights.join(F.broadcast(mine), "term").groupBy(key).agg(F.sum(F.col("weight") * F.col("_a")).alias("_s"))
     return items.join(hits, key, "left").withColumn("similarity", F.coalesce("_s", F.lit(0.0))).drop("_s")
 
 

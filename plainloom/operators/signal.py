@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plainloom.operators.ordering import join_null_safe
+from plainloom.operators.ordering import join_null_safe, lookup
 from plainloom.operators.quantiles import melt
 
 FEATURES = ("mean", "std", "skew", "kurtosis", "rms", "max", "p2p")
@@ -56,7 +56,7 @@ def histogram_entropy(df: DataFrame, by: Sequence[str], channels: Sequence[str],
     ranges = long.groupBy(*keys).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
     scaled = (F.col("value") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * bins
     index = F.coalesce(F.greatest(F.ceil(scaled) - 1, F.lit(0)), F.lit(0))
-    counts = join_null_safe(long, ranges, keys).groupBy(*keys, index.alias("_bin")).agg(
+    counts = lookup(long, ranges, keys, null_safe=True).groupBy(*keys, index.alias("_bin")).agg(
         F.count(F.lit(1)).cast("double").alias("_c")
     )
     total = F.sum("_c")

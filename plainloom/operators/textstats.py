@@ -11,7 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plainloom.operators.ordering import number_rows
+from plainloom.functions.text import word_ngrams
+from plainloom.operators.ordering import lookup, number_rows
+from plainloom.session import stage
+
+MAX_BROADCAST_TERMS = 100_000
 
 
 def explode_tokens(df: DataFrame, keys: Sequence[str], tokens: Column, name: str = "term") -> DataFrame:
@@ -49,11 +53,15 @@ def document_frequencies(tf: DataFrame) -> DataFrame:
 
 
 def vocabulary(tf: DataFrame, size: int | None = None, min_df: int = 1) -> DataFrame:
-    """Terms in at least ``min_df`` documents; the ``size`` most frequent, ties by term."""
+    """Terms in at least ``min_df`` documents; the ``size`` most frequent, ties by term.
+
+    A capped vocabulary has a known bound and is broadcast.
+    """
     terms = document_frequencies(tf).where(F.col("df") >= min_df)
-    if size is not None:
-        terms = terms.orderBy(F.col("total").desc(), "term").limit(size)
-    return terms
+    if size is None:
+        return terms
+    capped = terms.orderBy(F.col("total").desc(), "term").limit(size)
+    return F.broadcast(capped) if size <= MAX_BROADCAST_TERMS else capped
 
 
 def tfidf_plain(tf: DataFrame, terms: DataFrame, n_docs: Column) -> DataFrame:
@@ -81,7 +89,7 @@ def vocabulary_index(counts: DataFrame, name: str = "token_id") -> DataFrame:
 def encode_tokens(df: DataFrame, keys: Sequence[str], tokens: Column, index: DataFrame) -> DataFrame:
     """Tokens to vocabulary ids in their order; unknown tokens are left out, rows without ids kept."""
     pieces = df.select(*keys, F.posexplode_outer(tokens).alias("_pos", "term"))
-    joined = pieces.join(index.select("term", "token_id"), "term", "left")
+    joined = lookup(pieces, index.select("term", "token_id"), ["term"], "left")
     pairs = F.collect_list(F.when(F.col("token_id").isNotNull(), F.struct("_pos", "token_id")))
     ids = F.transform(F.array_sort(F.col("_p")), lambda p: p["token_id"])
     return joined.groupBy(*keys).agg(pairs.alias("_p")).select(*keys, ids.alias("ids"))
@@ -95,7 +103,7 @@ def vocabulary_map(df: DataFrame, tokens: Column, rule) -> DataFrame:
 def normalise_tokens(df: DataFrame, keys: Sequence[str], tokens: Column, mapping: DataFrame) -> DataFrame:
     """Replace tokens by the (term, normal) map; tokens outside the map stay."""
     pieces = df.select(*keys, F.posexplode(tokens).alias("_pos", "term"))
-    mapped = pieces.join(mapping, "term", "left").withColumn("_t", F.coalesce("normal", "term"))
+    mapped = lookup(pieces, mapping, ["term"], "left").withColumn("_t", F.coalesce("normal", "term"))
     ordered = F.array_sort(F.collect_list(F.struct("_pos", "_t")))
     return mapped.groupBy(*keys).agg(F.transform(ordered, lambda p: p["_t"]).alias("tokens"))
 
@@ -126,8 +134,6 @@ def sentiment_totals(shares: DataFrame) -> DataFrame:
 
 def next_word_table(df: DataFrame, tokens: Column, order: int = 1) -> DataFrame:
     """Most frequent follower of every ``order``-word prefix, the smallest word on ties."""
-    from plainloom.functions.text import word_ngrams
-
     grams = explode_tokens(df, [], word_ngrams(tokens, order + 1, order + 1), "gram")
     words = F.split("gram", " ")
     pairs = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).select(
@@ -144,7 +150,7 @@ def next_word_table(df: DataFrame, tokens: Column, order: int = 1) -> DataFrame:
 def continue_text(seeds: DataFrame, text: str, table: DataFrame, words: int, order: int = 1) -> DataFrame:
     """Append the most likely next word ``words`` times; a seed without follower stays as it is."""
     out = seeds
-    follow = table.select("prefix", "next")
+    follow = stage(table.select("prefix", "next"))  # read once per word, and of known size
     for _ in range(words):
         last = F.array_join(F.slice(F.split(F.col(text), " "), -order, order), " ")
         enough = F.size(F.split(F.col(text), " ")) >= order

@@ -235,7 +235,7 @@ def ridge(spark, sf):
     "lasso",
     """WITH s AS (SELECT covar_pop(l_quantity, l_extendedprice) sxy, var_pop(l_quantity) sxx,
            avg(l_quantity) mx, avg(l_extendedprice) my FROM lineitem),
-       b AS (SELECT *, greatest(sxy - 500, 0) / sxx AS b FROM s)
+       b AS (SELECT *, sign(sxy) * greatest(abs(sxy) - 500, 0) / sxx AS b FROM s)
        SELECT 'l_quantity' AS term, round(b, 2) AS coefficient FROM b
        UNION ALL SELECT '(intercept)', round(my - b * mx, 2) FROM b""",
 )

@@ -30,7 +30,9 @@ def rep(expression, pattern, by=""):
     return f"regexp_replace({expression}, '{pattern}', '{by}', 'g')"
 
 
-WORDS = X.word_tokens(F.col("text"))
+def words():
+    # a function: a Column needs a running session, this module does not
+    return X.word_tokens(F.col("text"))
 
 
 def texts(spark, sf, name, *columns):
@@ -89,7 +91,7 @@ def strip_mentions(spark, sf):
 )
 def tokenise(spark, sf):
     docs = texts(spark, sf, "documents", "doc_id", "text").select(
-        "doc_id", X.space_tokens(F.lower("text")).alias("p"), WORDS.alias("w")
+        "doc_id", X.space_tokens(F.lower("text")).alias("p"), words().alias("w")
     )
     return docs.select(
         "doc_id",
@@ -114,7 +116,7 @@ def text_length(spark, sf):
     f"SELECT lang, CAST(max(len({WORDS_SQL})) AS INTEGER) AS longest FROM documents GROUP BY lang",
 )
 def max_tokens(spark, sf):
-    return texts(spark, sf, "documents", "lang", "text").groupBy("lang").agg(F.max(F.size(WORDS)).alias("longest"))
+    return texts(spark, sf, "documents", "lang", "text").groupBy("lang").agg(F.max(F.size(words())).alias("longest"))
 
 
 @query(
@@ -156,7 +158,7 @@ def char_ngrams(spark, sf):
 
 @query("token_counts", f"WITH {TERMS_SQL} SELECT term, total AS n FROM df ORDER BY n DESC, term")
 def token_counts(spark, sf):
-    counts = textstats.token_counts(texts(spark, sf, "documents", "text"), WORDS)
+    counts = textstats.token_counts(texts(spark, sf, "documents", "text"), words())
     return counts.orderBy(F.col("n").desc(), "term")
 
 
@@ -170,7 +172,7 @@ def token_counts(spark, sf):
 def class_word_counts(spark, sf):
     # the 200 words a word cloud shows, per class
     labelled = texts(spark, sf, "documents", "doc_id", "text").join(table(spark, sf, "labels"), "doc_id")
-    counts = textstats.token_counts(labelled, WORDS, ["quality"])
+    counts = textstats.token_counts(labelled, words(), ["quality"])
     return textstats.top_per_group(counts, ["quality"], [F.col("n").desc(), "term"], 200)
 
 
@@ -182,7 +184,7 @@ def class_word_counts(spark, sf):
         SELECT gram, count(*) AS n FROM g GROUP BY 1""",
 )
 def ngrams(spark, sf):
-    grams = X.word_ngrams(WORDS, 1, 2)
+    grams = X.word_ngrams(words(), 1, 2)
     return textstats.token_counts(texts(spark, sf, "documents", "text"), grams, name="gram")
 
 
@@ -192,7 +194,7 @@ def ngrams(spark, sf):
         FROM documents""",
 )
 def stopword_filter(spark, sf):
-    tokens = texts(spark, sf, "documents", "doc_id", "text").select("doc_id", WORDS.alias("tokens"))
+    tokens = texts(spark, sf, "documents", "doc_id", "text").select("doc_id", words().alias("tokens"))
     remover = StopWordsRemover(inputCol="tokens", outputCol="kept", stopWords=STOP_WORDS)
     return remover.transform(tokens).select("doc_id", F.array_join("kept", " ").alias("terms"))
 
@@ -204,8 +206,8 @@ def stopword_filter(spark, sf):
 )
 def normalise_vocabulary(spark, sf):
     docs = texts(spark, sf, "documents", "doc_id", "text")
-    mapping = textstats.vocabulary_map(docs, WORDS, X.strip_suffix)
-    normal = textstats.normalise_tokens(docs, ["doc_id"], WORDS, mapping)
+    mapping = textstats.vocabulary_map(docs, words(), X.strip_suffix)
+    normal = textstats.normalise_tokens(docs, ["doc_id"], words(), mapping)
     return normal.select("doc_id", F.array_join("tokens", " ").alias("terms"))
 
 
@@ -215,7 +217,7 @@ def normalise_vocabulary(spark, sf):
         SELECT doc_id, term, tf FROM tf JOIN v USING (term)""",
 )
 def term_frequency(spark, sf):
-    tf = textstats.term_frequencies(texts(spark, sf, "documents", "doc_id", "text"), "doc_id", WORDS)
+    tf = textstats.term_frequencies(texts(spark, sf, "documents", "doc_id", "text"), "doc_id", words())
     return tf.join(textstats.vocabulary(tf, 1000, 10).select("term"), "term").select("doc_id", "term", "tf")
 
 
@@ -226,7 +228,7 @@ def term_frequency(spark, sf):
 )
 def tfidf_plain(spark, sf):
     docs = texts(spark, sf, "documents", "doc_id", "text")
-    tf = textstats.term_frequencies(docs, "doc_id", WORDS)
+    tf = textstats.term_frequencies(docs, "doc_id", words())
     n = table(spark, sf, "documents").agg(F.count(F.lit(1))).scalar()
     out = textstats.tfidf_plain(tf, textstats.document_frequencies(tf), n)
     return out.select("doc_id", "term", F.round("weight", 6).alias("weight"))
@@ -240,7 +242,7 @@ def tfidf_plain(spark, sf):
 )
 def tfidf_smooth_l2(spark, sf):
     docs = texts(spark, sf, "documents", "doc_id", "text")
-    tf = textstats.term_frequencies(docs, "doc_id", WORDS)
+    tf = textstats.term_frequencies(docs, "doc_id", words())
     n = table(spark, sf, "documents").agg(F.count(F.lit(1))).scalar()
     out = textstats.tfidf_smooth(tf, textstats.vocabulary(tf, min_df=5), n, "doc_id")
     return out.select("doc_id", "term", F.round("weight", 6).alias("weight"))
@@ -253,7 +255,7 @@ def tfidf_smooth_l2(spark, sf):
 )
 def nonempty_vectors(spark, sf):
     docs = texts(spark, sf, "documents", "doc_id", "lang", "text")
-    tf = textstats.term_frequencies(docs, "doc_id", WORDS)
+    tf = textstats.term_frequencies(docs, "doc_id", words())
     hits = tf.join(textstats.vocabulary(tf, 40, 2).select("term"), "term").select("doc_id")
     return table(spark, sf, "documents").select("doc_id", "lang").join(hits, "doc_id", "left_semi")
 
@@ -264,7 +266,7 @@ INDEX_SQL = f"""idx AS (SELECT term, row_number() OVER (ORDER BY count(*) DESC,
 
 
 def conversation_index(spark, sf):
-    return textstats.vocabulary_index(textstats.token_counts(texts(spark, sf, "conversations", "text"), WORDS))
+    return textstats.vocabulary_index(textstats.token_counts(texts(spark, sf, "conversations", "text"), words()))
 
 
 @query("vocab_index", f"WITH {INDEX_SQL} SELECT term, token_id FROM idx")
@@ -288,7 +290,7 @@ ENCODED_SQL = f"""{INDEX_SQL},
 def encode_pad(spark, sf):
     conversations, index = texts(spark, sf, "conversations", "conv_id", "turn", "text"), conversation_index(spark, sf)
     # staged: read for the longest row and for the result
-    encoded = stage(textstats.encode_tokens(conversations, ["conv_id", "turn"], WORDS, index))
+    encoded = stage(textstats.encode_tokens(conversations, ["conv_id", "turn"], words(), index))
     longest = encoded.agg(F.max(F.size("ids"))).scalar()
     return encoded.select(
         "conv_id",
@@ -317,7 +319,7 @@ def prefix_sequences(spark, sf):
         "conv_id", "turn", F.posexplode(F.split("text", "\n")).alias("line", "text")
     )
     keys = ["conv_id", "turn", "line"]
-    encoded = stage(textstats.encode_tokens(lines, keys, WORDS, conversation_index(spark, sf)))
+    encoded = stage(textstats.encode_tokens(lines, keys, words(), conversation_index(spark, sf)))
     longest = encoded.agg(F.max(F.size("ids"))).scalar()
     prefixes = encoded.select(*keys, F.explode(A.growing_prefixes(F.col("ids"))).alias("p"))
     features, target = A.split_target(A.pad_left(F.col("p"), longest))
@@ -334,7 +336,7 @@ NEXT_SQL = f"""w AS (SELECT {CONV_WORDS_SQL} AS w FROM conversations),
 
 @query("next_word", f"WITH {NEXT_SQL} SELECT prefix, next, n FROM nx")
 def next_word(spark, sf):
-    return textstats.next_word_table(table(spark, sf, "conversations"), WORDS)
+    return textstats.next_word_table(table(spark, sf, "conversations"), words())
 
 
 @query(
@@ -346,8 +348,8 @@ def next_word(spark, sf):
 )
 def continue_text(spark, sf):
     conversations = table(spark, sf, "conversations")
-    seeds = conversations.select("conv_id", "turn", F.try_element_at(WORDS, F.lit(-1)).alias("continued"))
-    follow = textstats.next_word_table(conversations, WORDS)
+    seeds = conversations.select("conv_id", "turn", F.try_element_at(words(), F.lit(-1)).alias("continued"))
+    follow = textstats.next_word_table(conversations, words())
     return textstats.continue_text(seeds.where(F.col("continued").isNotNull()), "continued", follow, 3)
 
 
@@ -401,7 +403,7 @@ SHARES_SQL = f"""t AS (SELECT conv_id, turn, unnest({CONV_WORDS_SQL}) AS term FR
 
 def conversation_sentiment(spark, sf):
     lexicon = relational.literal_table(spark, ["term", "score"], list(LEXICON.items()))
-    return textstats.lexicon_sentiment(table(spark, sf, "conversations"), ["conv_id", "turn"], WORDS, lexicon)
+    return textstats.lexicon_sentiment(table(spark, sf, "conversations"), ["conv_id", "turn"], words(), lexicon)
 
 
 @query(

@@ -35,12 +35,15 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder: on a cluster such
     a folder would exist on one machine and die with it.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
+    context = spark.sparkContext
+    named = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getConf().get("spark.checkpoint.dir")
+        or context.getCheckpointDir()
     )
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     global _local_folder
     if _local_folder is None:

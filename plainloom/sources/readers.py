@@ -12,10 +12,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plainloom.functions.dates import file_time
+from plainloom.session import stage
 
 CORRUPT = "_corrupt_record"
 
 
+def _schema(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def _csv(spark: SparkSession, schema: T.StructType, header: bool, sep: str, encoding: str):
+    return spark.read.schema(schema).option("header", header).option("sep", sep).option("encoding", encoding)
+
+
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -26,14 +35,9 @@ def read_csv(
     drop_malformed: bool = False,
 ) -> DataFrame:
     """One file, a list of files or a glob as one table (many yearly files included)."""
-    return (
-        spark.read.schema(schema)
-        .option("header", header)
-        .option("sep", sep)
-        .option("encoding", encoding)
-        .option("mode", "DROPMALFORMED" if drop_malformed else "PERMISSIVE")
-        .csv(path if isinstance(path, str) else list(path))
-    )
+    if drop_malformed:
+        return read_csv_with_rejects(spark, path, schema, header, sep, encoding)[0]
+    return _csv(spark, _schema(schema), header, sep, encoding).csv(path if isinstance(path, str) else list(path))
 
 
 def read_tsv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, header: bool = False) -> DataFrame:
@@ -41,19 +45,23 @@ def read_tsv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 
 
 def read_csv_with_rejects(
-    spark: SparkSession, path: str, schema: T.StructType, header: bool = True, sep: str = ","
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType | str,
+    header: bool = True,
+    sep: str = ",",
+    encoding: str = "UTF-8",
 ) -> tuple[DataFrame, DataFrame]:
-    """(good rows, malformed lines as text), so that skipped lines can be counted."""
-    marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = (
-        spark.read.schema(marked)
-        .option("header", header)
-        .option("sep", sep)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
-    good = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return good, rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    """(good rows, malformed lines as text), so that skipped lines can be counted.
+
+    Parsed once with all columns and staged. Over the raw file, which lines count
+    as malformed would depend on the columns a query happens to read.
+    """
+    marked = T.StructType([*_schema(schema).fields, T.StructField(CORRUPT, T.StringType())])
+    reader = _csv(spark, marked, header, sep, encoding).option("columnNameOfCorruptRecord", CORRUPT)
+    parsed = stage(reader.csv(path if isinstance(path, str) else list(path)))
+    good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return good, parsed.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
 def infer_csv(spark: SparkSession, path: str, header: bool = True, sep: str = ",") -> DataFrame:
