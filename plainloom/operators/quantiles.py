@@ -31,9 +31,9 @@ def quantiles(
 ) -> DataFrame:
     """One row per (by, column): array ``q`` of linearly interpolated quantiles.
 
-    ``percentile`` holds every distinct value of a group in one buffer, so it is
-    used only for groups of checked size. Bigger groups count equal values first
-    and find the wanted ranks in a running total, in which no task holds a group.
+    Equal values are counted first. ``percentile`` then holds every distinct value
+    of a group in one buffer, so it is used only for groups of checked size; for
+    bigger ones the ranks are found in a running total, where no task holds a group.
     """
     by = list(by)
     keys = [*by, "column"]
@@ -41,9 +41,9 @@ def quantiles(
     levels = F.array(*[F.lit(float(p)) for p in probs])
     if approximate:
         return long.groupBy(*keys).agg(F.percentile_approx("value", levels, accuracy).alias("q"))
-    if largest_group(df, by) <= small_group_rows:
-        return long.groupBy(*keys).agg(F.percentile("value", levels).alias("q"))
     counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
+    if largest_group(df, by) <= small_group_rows:
+        return counts.groupBy(*keys).agg(F.percentile("value", levels, F.col("_n")).alias("q"))
     cum = running_total(counts, keys, ["value"], "_n", "_upto", "_size")
 
     def at(rank):

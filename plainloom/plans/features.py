@@ -243,7 +243,7 @@ def profiled_items(spark, sf):
          F.concat(X.clean_comma_parts(F.col("p_brand")), F.col("p_size").cast("string"))]
     )
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), bag.alias("bag"))
-    return scored_items(spark, sf).join(parts, "id", "left")
+    return stage(scored_items(spark, sf).join(parts, "id", "left"))
 
 
 @query("item_profile", f"SELECT p_partkey AS id, {PROFILE_SQL} AS bag FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)")
