@@ -122,6 +122,6 @@ def word_ngrams(tokens: Column, low: int, high: int) -> Column:
     return let(tokens, lambda words: F.concat(*[of_length(words, n) for n in range(low, high + 1)]))
 
 
-def strip_suffix(word: Column, suffixes: str = "ing|ed|es|s", longer_than: int = 5) -> Column:
-    """Rule-based normal form: long words lose one listed suffix."""
-    return F.when(F.length(word) > longer_than, F.regexp_replace(word, f"({suffixes})$", "")).otherwise(word)
+def strip_suffix(word: Column) -> Column:
+    """Rule-based normal form: words longer than five characters lose one English suffix."""
+    return F.when(F.length(word) > 5, F.regexp_replace(word, "(ing|ed|es|s)$", "")).otherwise(word)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,6 +79,36 @@ def dummies(df: DataFrame, columns: Sequence[str], drop_first: bool = True) -> D
     return df.select("*", *made).drop(*columns)
 
 
+def mixed_columns(
+    numeric: Sequence[str], ordinal: Sequence[str], categorical: Sequence[str], output: str = "features"
+) -> Pipeline:
+    """One estimator for all column roles: numbers scaled, ordinals coded, categories one-hot.
+
+    Codes and categories are alphabetical and none is dropped; the one-hot part stays sparse.
+    """
+    coded = [*ordinal, *categorical]
+    stages = [
+        VectorAssembler(inputCols=list(numeric), outputCol="_numeric"),
+        StandardScaler(inputCol="_numeric", outputCol="_scaled", withMean=True, withStd=True),
+    ]
+    if coded:
+        stages.append(
+            StringIndexer(
+                inputCols=coded, outputCols=[f"_code_{c}" for c in coded],
+                stringOrderType="alphabetAsc", handleInvalid="keep",
+            )
+        )
+    if categorical:
+        stages.append(
+            OneHotEncoder(
+                inputCols=[f"_code_{c}" for c in categorical],
+                outputCols=[f"_hot_{c}" for c in categorical], dropLast=False,
+            )
+        )
+    parts = ["_scaled", *[f"_code_{c}" for c in ordinal], *[f"_hot_{c}" for c in categorical]]
+    return Pipeline(stages=[*stages, VectorAssembler(inputCols=parts, outputCol=output)])
+
+
 def label_encode(df: DataFrame, column: str, name: str) -> DataFrame:
     """Alphabetical codes from 0; null stays null."""
     values = df.select(column).where(F.col(column).isNotNull()).distinct()

@@ -185,6 +185,26 @@ def onehot_full(spark, sf):
     return encoded.select("o_orderkey", F.array_join(flags, " ").alias("onehot"))
 
 
+@query(
+    "mixed_columns",
+    """SELECT o_orderkey, round((o_totalprice - (SELECT avg(o_totalprice) FROM orders))
+              / (SELECT stddev_samp(o_totalprice) FROM orders), 6) AS price,
+              CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS DOUBLE) AS priority,
+              CAST(dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS BIGINT) AS hot_position FROM orders""",
+)
+def mixed_columns(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
+    estimator = features.mixed_columns(["o_totalprice"], ["o_orderpriority"], ["o_orderstatus"])
+    values = estimator.fit(orders).transform(orders).select("o_orderkey", vector_to_array("features").alias("v"))
+    hot = F.slice("v", 3, F.size("v") - 2)
+    return values.select(
+        "o_orderkey",
+        F.round(F.col("v")[0], 6).alias("price"),
+        F.col("v")[1].alias("priority"),
+        (F.array_position(hot, 1.0) - 1).alias("hot_position"),
+    )
+
+
 @query(
     "label_encode",
     "SELECT p_partkey, dense_rank() OVER (ORDER BY p_brand) - 1 AS code FROM part",

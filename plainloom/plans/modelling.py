@@ -325,7 +325,7 @@ def auc_rank(spark, sf):
 
 @query(
     "masked_accuracy",
-    r"""WITH t AS (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')[1:128]) AS w FROM conversations)
+    r"""WITH t AS (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS w FROM conversations)
         SELECT round(avg(CASE WHEN length(w) % 3 = strpos(w, 'e') % 3 THEN 1.0::DOUBLE ELSE 0 END), 6) AS accuracy,
                count(*) AS n FROM t""",
 )
@@ -333,9 +333,9 @@ def masked_accuracy(spark, sf):
     words = X.word_tokens(F.col("text"))
     truth = F.transform(words, lambda w: (F.length(w) % 3 + 1).cast("long"))
     guess = F.transform(words, lambda w: (F.instr(w, "e") % 3 + 1).cast("long"))
-    padded = table(spark, sf, "conversations").select(
-        A.pad_right(truth, 128).alias("truth"), A.pad_right(guess, 128).alias("guess")
-    )
+    texts = table(spark, sf, "conversations")
+    longest = texts.agg(F.max(F.size(words))).scalar()
+    padded = texts.select(A.pad_right(truth, longest).alias("truth"), A.pad_right(guess, longest).alias("guess"))
     out = metrics.masked_accuracy(padded, F.col("truth"), F.col("guess"))
     return out.withColumn("accuracy", F.round("accuracy", 6))
 
