@@ -115,12 +115,33 @@ def logistic_regression(spark, sf):
     return _scores("logistic", LogisticRegression(maxIter=50), *vector_split(spark, sf))
 
 
-@query("nb_gaussian")
+VECTORS_SQL = f"""e AS (SELECT vec_id, label, embedding, {HASH_SQL.format(k='vec_id')} < 80 AS t FROM embeddings),
+    x AS (SELECT vec_id, label, t, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS j FROM e),
+    c AS (SELECT label AS y, count(*) AS n, sum(count(*)) OVER () AS total, count(*) OVER () AS k FROM e WHERE t GROUP BY 1)"""
+VOTE_SQL = """b AS (SELECT vec_id, label, y FROM ll QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY ll DESC, y) = 1)
+    SELECT '{name}' AS model, avg(CASE WHEN y = label THEN 1.0::DOUBLE ELSE 0 END) AS accuracy, count(*) AS n,
+           (SELECT max(n) FROM (SELECT count(*) AS n FROM b GROUP BY label)) / count(*) AS majority FROM b"""
+
+
+@query(
+    "nb_gaussian",
+    f"""WITH {VECTORS_SQL}, s AS (SELECT label AS y, j, avg(x) AS m, var_pop(x) AS v FROM x WHERE t GROUP BY 1, 2),
+        ll AS (SELECT vec_id, label, y, ln(any_value(n) / any_value(total)) - 0.5 * sum(ln(2 * pi() * v) + (x - m) ** 2 / v) AS ll
+               FROM x JOIN s USING (j) JOIN c USING (y) WHERE NOT t GROUP BY 1, 2, 3),
+        {VOTE_SQL.format(name='gaussian')}""",
+)
 def nb_gaussian(spark, sf):
     return _scores("gaussian", NaiveBayes(modelType="gaussian"), *vector_split(spark, sf))
 
 
-@query("nb_bernoulli")
+@query(
+    "nb_bernoulli",
+    f"""WITH {VECTORS_SQL}, s AS (SELECT label AS y, j, (count(*) FILTER (x > 0) + 1) / (count(*) + 2) AS p FROM x WHERE t GROUP BY 1, 2),
+        ll AS (SELECT vec_id, label, y, ln((any_value(n) + 1) / (any_value(total) + any_value(k)))
+                      + sum(ln(CASE WHEN x > 0 THEN p ELSE 1 - p END)) AS ll
+               FROM x JOIN s USING (j) JOIN c USING (y) WHERE NOT t GROUP BY 1, 2, 3),
+        {VOTE_SQL.format(name='bernoulli')}""",
+)
 def nb_bernoulli(spark, sf):
     return _scores("bernoulli", models.bernoulli_bayes(), *vector_split(spark, sf))
 

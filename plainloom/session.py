@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
+_removed_at_exit: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,13 +64,25 @@ def stage(df: DataFrame) -> DataFrame:
     different partition boundaries. Parquet keeps later column pruning.
     """
     spark = df.sparkSession
-    path = f"{_stage_root(spark)}/{uuid.uuid4().hex}"
+    root = _stage_root(spark)
+    path = f"{root}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if root not in _removed_at_exit:
+        folder, files = _folder(spark, root)
+        files.deleteOnExit(folder)
+        _removed_at_exit.add(root)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def release_staged(spark: SparkSession) -> None:
-    """Delete everything this application staged, once its results are stored."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_stage_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete everything this application staged; the application's end does the same.
+
+    For long-lived applications, once the results that read it are stored.
+    """
+    folder, files = _folder(spark, _stage_root(spark))
+    files.delete(folder, True)
