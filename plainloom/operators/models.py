@@ -10,6 +10,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
+    GBTClassifier,
     LinearSVC,
     NaiveBayes,
     OneVsRest,
@@ -70,6 +71,12 @@ def bagged_trees(n: int = 10, seed: int = 1, **columns) -> Estimator:
     )
 
 
+def boosted_trees(classes: int = 2, label: str = "label", **params) -> Estimator:
+    """Gradient-boosted trees; beyond two classes one against the rest."""
+    trees = GBTClassifier(labelCol=label, **params)
+    return trees if classes == 2 else OneVsRest(classifier=trees, labelCol=label, parallelism=4)
+
+
 def linear_svm(label: str = "label", **params) -> Estimator:
     """Linear SVM for any number of classes, one against the rest."""
     return OneVsRest(classifier=LinearSVC(labelCol=label, **params), labelCol=label, parallelism=4)

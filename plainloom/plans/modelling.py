@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     NaiveBayes,
@@ -104,7 +103,7 @@ def _total(vector):
 @query("gbt_churn")
 def gbt_churn(spark, sf):
     train, test = churn_split(spark, sf)
-    model = models.fit(GBTClassifier(maxIter=10, maxDepth=4, seed=123), train)
+    model = models.fit(models.boosted_trees(maxIter=10, maxDepth=4, seed=123), train)
     scored = model.transform(test).withColumn("p", vector_to_array("probability")[1])
     auc = metrics.auc(scored, "label", "p")
     return models.classification_scores(scored, "label", "gbt").withColumn("auc", auc.scalar())

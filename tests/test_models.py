@@ -138,6 +138,12 @@ def test_clusters(spark):
     assert metrics.cluster_samples(assigned.withColumn("i", F.monotonically_increasing_id()), "cluster", ["i"], 5).count() == 15
 
 
+def test_boosted_trees_for_three_classes(spark):
+    df = models.assemble(spark.range(90).select((F.col("id") / 1.0).alias("x"), F.floor(F.col("id") / 30).cast("double").alias("label")), ["x"])
+    fitted = models.fit(models.boosted_trees(3, maxIter=3, maxDepth=2, seed=1), df)
+    assert metrics.accuracy(fitted.transform(df), "label", "prediction").first()["accuracy"] > 0.9
+
+
 def test_comparison_beats_majority(spark):
     from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 
