@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plainloom.operators.ordering import largest_group, running_total
 
-SMALL_GROUP_ROWS = 1_000_000
+# a group up to this many rows may be sorted in one task; a task can hold many groups, but only one table
+SMALL_GROUP_ROWS = 100_000
+SMALL_TABLE_ROWS = 1_000_000
 
 
 def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -20,6 +22,30 @@ def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataF
     return df.select(*by, F.explode(F.array(*pairs)).alias("_kv")).select(*by, "_kv.column", "_kv.value")
 
 
+def _per_column(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str], quantile: Callable[[Column], Column]
+) -> DataFrame:
+    """One aggregate per column in a single pass, turned to one row per column."""
+    numbers = [F.col(c).cast("double") for c in columns]
+    wide = df.groupBy(*by).agg(
+        *[quantile(F.when(~F.isnan(x), x)).alias(f"_q{i}") for i, x in enumerate(numbers)]
+    )
+    rows = [F.struct(F.lit(c).alias("column"), F.col(f"_q{i}").alias("q")) for i, c in enumerate(columns)]
+    long = wide.select(*by, F.explode(F.array(*rows)).alias("_s")).select(*by, "_s.column", "_s.q")
+    return long.where(F.col("q").isNotNull())
+
+
+def _interpolate(values: Column, probs: Sequence[float]) -> Column:
+    """Quantiles of a sorted array."""
+    picked = []
+    for p in probs:
+        rank = (F.size(values) - 1) * F.lit(float(p))
+        below = F.element_at(values, (F.floor(rank) + 1).cast("int"))
+        above = F.element_at(values, (F.ceil(rank) + 1).cast("int"))
+        picked.append(below + (above - below) * (rank - F.floor(rank)))
+    return F.array(*picked)
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -27,23 +53,26 @@ def quantiles(
     by: Sequence[str] = (),
     approximate: bool = False,
     accuracy: int = 10_000,
-    small_group_rows: int = SMALL_GROUP_ROWS,
+    small_group_rows: int | None = None,
 ) -> DataFrame:
     """One row per (by, column): array ``q`` of linearly interpolated quantiles.
 
-    Equal values are counted first. ``percentile`` then holds every distinct value
-    of a group in one buffer, so it is used only for groups of checked size; for
-    bigger ones the ranks are found in a running total, where no task holds a group.
+    Groups of checked small size are sorted as arrays. If one group is bigger,
+    equal values are counted first and the wanted ranks found in a running total,
+    in which no task holds a group.
     """
     by = list(by)
     keys = [*by, "column"]
-    long = melt(df, columns, by).where(F.col("value").isNotNull() & ~F.isnan("value"))
     levels = F.array(*[F.lit(float(p)) for p in probs])
     if approximate:
-        return long.groupBy(*keys).agg(F.percentile_approx("value", levels, accuracy).alias("q"))
-    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
+        return _per_column(df, columns, by, lambda x: F.percentile_approx(x, levels, accuracy))
+    if small_group_rows is None:
+        small_group_rows = SMALL_GROUP_ROWS if by else SMALL_TABLE_ROWS
     if largest_group(df, by) <= small_group_rows:
-        return counts.groupBy(*keys).agg(F.percentile("value", levels, F.col("_n")).alias("q"))
+        lists = _per_column(df, columns, by, lambda x: F.sort_array(F.collect_list(x)))
+        return lists.where(F.size("q") > 0).withColumn("q", _interpolate(F.col("q"), probs))
+    long = melt(df, columns, by).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
     cum = running_total(counts, keys, ["value"], "_n", "_upto", "_size")
 
     def at(rank):
