@@ -1,10 +1,9 @@
 """Row positions and running totals that never gather a group in one task.
 
 A plain ``row_number() over (partition by key order by ts)`` sends a whole key to
-one task, and without a key the whole table. Groups whose checked size is small
-use that plain window. All others are range-partitioned on (key, order), so a hot
-key spreads over many partitions, and only one small row per (key, partition) is
-windowed to find where each partition starts.
+one task, and without a key the whole table. Here rows are range-partitioned on
+(key, order), so a hot key spreads over many partitions, and only one small row per
+(key, partition) is windowed to find where each partition starts.
 """
 
 from __future__ import annotations
@@ -16,7 +15,6 @@ from pyspark.sql import functions as F
 
 from plainloom.session import stage
 
-SMALL_GROUP_ROWS = 1_000_000
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition in the high bits, row below
 
 
@@ -48,13 +46,6 @@ def lookup(
     return join_null_safe(facts, sized, keys, how) if null_safe else facts.join(sized, list(keys), how)
 
 
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    """Rows in the biggest group (a count per key, combined before the shuffle)."""
-    if not by:
-        return df.count()
-    return df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-
-
 def _starts(staged: DataFrame, by: Sequence[str], weight: Column, first: Column) -> DataFrame:
     """Per (group, partition): total weight of earlier partitions and of the group."""
     per_part = staged.groupBy(*by, "_pid").agg(weight.alias("_w"), first.alias("_first"))
@@ -75,16 +66,12 @@ def number_rows(
     order: Sequence[str | Column],
     name: str = "position",
     total: str | None = None,
-    small_group_rows: int = SMALL_GROUP_ROWS,
 ) -> DataFrame:
     """1-based position of every row in its ``by`` group under a total ``order``.
 
-    ``total`` adds the group's row count. With an empty ``by`` the table is always
-    ranged, so no task ever holds all of it.
+    ``total`` adds the group's row count. Groups are always range-partitioned, so no
+    task holds a whole group of whatever size.
     """
-    if by and largest_group(df, by) <= small_group_rows:
-        out = df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
-        return out.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*by))) if total else out
     ranged = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
     staged = stage(ranged.withColumn("_row", F.monotonically_increasing_id()))
     staged = staged.withColumn("_pid", F.shiftright("_row", _LOCAL_BITS)).withColumn(

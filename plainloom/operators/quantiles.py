@@ -7,11 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plainloom.operators.ordering import largest_group, running_total
-
-# a group up to this many rows may be sorted in one task; a task can hold many groups, but only one table
-SMALL_GROUP_ROWS = 100_000
-SMALL_TABLE_ROWS = 1_000_000
+from plainloom.operators.ordering import running_total
 
 
 def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -35,17 +31,6 @@ def _per_column(
     return long.where(F.col("q").isNotNull())
 
 
-def _interpolate(values: Column, probs: Sequence[float]) -> Column:
-    """Quantiles of a sorted array."""
-    picked = []
-    for p in probs:
-        rank = (F.size(values) - 1) * F.lit(float(p))
-        below = F.element_at(values, (F.floor(rank) + 1).cast("int"))
-        above = F.element_at(values, (F.ceil(rank) + 1).cast("int"))
-        picked.append(below + (above - below) * (rank - F.floor(rank)))
-    return F.array(*picked)
-
-
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -53,24 +38,17 @@ def quantiles(
     by: Sequence[str] = (),
     approximate: bool = False,
     accuracy: int = 10_000,
-    small_group_rows: int | None = None,
 ) -> DataFrame:
     """One row per (by, column): array ``q`` of linearly interpolated quantiles.
 
-    Groups of checked small size are sorted as arrays. If one group is bigger,
-    equal values are counted first and the wanted ranks found in a running total,
-    in which no task holds a group.
+    Equal values are counted first and the wanted ranks found in a running total, in
+    which no task holds a group, whatever its size.
     """
     by = list(by)
     keys = [*by, "column"]
     levels = F.array(*[F.lit(float(p)) for p in probs])
     if approximate:
         return _per_column(df, columns, by, lambda x: F.percentile_approx(x, levels, accuracy))
-    if small_group_rows is None:
-        small_group_rows = SMALL_GROUP_ROWS if by else SMALL_TABLE_ROWS
-    if largest_group(df, by) <= small_group_rows:
-        lists = _per_column(df, columns, by, lambda x: F.sort_array(F.collect_list(x)))
-        return lists.where(F.size("q") > 0).withColumn("q", _interpolate(F.col("q"), probs))
     long = melt(df, columns, by).where(F.col("value").isNotNull() & ~F.isnan("value"))
     counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
     cum = running_total(counts, keys, ["value"], "_n", "_upto", "_size")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plainloom.operators.ordering import largest_group, number_rows
+from plainloom.operators.ordering import number_rows
 
 CHUNK_ROWS = 100_000
 
@@ -22,20 +22,15 @@ def lookback_windows(
 ) -> DataFrame:
     """Rows with ``features`` = the ``lookback`` values before them and ``target`` = their own.
 
-    Rows without a full history are left out; null values are dropped first. A
-    series longer than ``chunk_rows`` is numbered and cut into chunks, each
-    carrying the last ``lookback`` rows of the chunk before it, so no task holds
-    a whole long series.
+    Rows without a full history are left out; null values are dropped first. Series
+    are numbered and cut into chunks of ``chunk_rows`` rows (of ``lookback`` rows if
+    that is more), each carrying the last ``lookback`` rows of the chunk before it,
+    so no task holds a whole long series.
     """
     rows = df.where(F.col(value).isNotNull())
     back = (-lookback, -1)
-    if by and largest_group(rows, by) <= chunk_rows:
-        window = Window.partitionBy(*by).orderBy(*order).rowsBetween(*back)
-        out = rows.withColumn("features", F.collect_list(value).over(window))
-        return out.where(F.size("features") == lookback).withColumn("target", F.col(value))
-    if lookback > chunk_rows:
-        raise ValueError("lookback must not exceed chunk_rows")
-    numbered = number_rows(rows, by, order, "_pos", small_group_rows=chunk_rows)
+    chunk_rows = max(chunk_rows, lookback)
+    numbered = number_rows(rows, by, order, "_pos")
     chunk = F.floor((F.col("_pos") - 1) / chunk_rows)
     in_tail = (F.col("_pos") - 1) % chunk_rows >= chunk_rows - lookback
     copies = F.when(in_tail, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))

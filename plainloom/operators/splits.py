@@ -22,11 +22,11 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[Dat
 
 
 def stratified_split(
-    df: DataFrame, label: str, key: str, train_fraction: float, name: str = "split", **sizes
+    df: DataFrame, label: str, key: str, train_fraction: float, name: str = "split"
 ) -> DataFrame:
     """In every class the first ``train_fraction`` of its rows, in hash order, is train."""
     hashed = df.withColumn("_h", F.md5(F.col(key).cast("string")))
-    numbered = number_rows(hashed, [label], ["_h", key], "_p", total="_n", **sizes)
+    numbered = number_rows(hashed, [label], ["_h", key], "_p", total="_n")
     is_train = F.col("_p") <= F.col("_n") * F.lit(train_fraction)
     return numbered.withColumn(name, F.when(is_train, "train").otherwise("test")).drop("_h", "_p", "_n")
 
@@ -38,10 +38,9 @@ def ordered_split(
     test_fraction: float,
     name: str = "split",
     position: str = "position",
-    **sizes,
 ) -> DataFrame:
     """Per series, the first round(n * (1 - f)) rows are train; rounds half to even."""
-    numbered = number_rows(df, by, order, position, total="_n", **sizes)
+    numbered = number_rows(df, by, order, position, total="_n")
     cut = half_even(F.col("_n") * F.lit(1 - test_fraction))
     split = F.when(F.col(position) <= cut, "train").otherwise("test")
     return numbered.withColumn(name, split).drop("_n")

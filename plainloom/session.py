@@ -6,11 +6,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
 _removed_at_exit: set[str] = set()
+_shipped: dict[str, bool] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +56,21 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, for functions that run there."""
+    context = spark.sparkContext
+    if _shipped.get(context.applicationId):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="plainloom-")) / "plainloom.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    atexit.register(shutil.rmtree, archive.parent, ignore_errors=True)
+    _shipped[context.applicationId] = True
+
+
 def _stage_root(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/plainloom-{spark.sparkContext.applicationId}"
 

@@ -21,7 +21,7 @@ def skewed(spark):
 
 @pytest.mark.parametrize("by", [["k"], []])
 def test_number_rows(skewed, by):
-    got = ordering.number_rows(skewed, by, ["v", "id"], total="n", small_group_rows=10)
+    got = ordering.number_rows(skewed, by, ["v", "id"], total="n")
     w = Window.partitionBy(*by).orderBy("v", "id")
     want = skewed.withColumn("position", F.row_number().over(w).cast("long")).withColumn(
         "n", F.count(F.lit(1)).over(Window.partitionBy(*by))
@@ -30,10 +30,11 @@ def test_number_rows(skewed, by):
     assert got.count() == 10_000
 
 
-def test_number_rows_small_and_large_paths_agree(skewed):
-    a = ordering.number_rows(skewed, ["k"], [F.col("v").desc(), "id"], small_group_rows=10)
-    b = ordering.number_rows(skewed, ["k"], [F.col("v").desc(), "id"])
-    assert a.select("id", "position").exceptAll(b.select("id", "position")).count() == 0
+def test_number_rows_descending(skewed):
+    got = ordering.number_rows(skewed, ["k"], [F.col("v").desc(), "id"])
+    w = Window.partitionBy("k").orderBy(F.col("v").desc(), "id")
+    want = skewed.withColumn("position", F.row_number().over(w).cast("long"))
+    assert got.select("id", "position").exceptAll(want.select("id", "position")).count() == 0
 
 
 def test_ranged_number_rows_has_no_single_task_window(skewed):
@@ -65,23 +66,24 @@ def test_shuffle_rows_is_repeatable(spark):
     assert a == b and sorted(a) == list(range(50)) and a != list(range(50))
 
 
-def test_quantiles_paths_agree(skewed):
+def test_quantiles_of_groups(skewed):
+    import numpy as np
+
     probs = [0.0, 0.1, 0.5, 0.97, 1.0]
-    present = skewed.where("k is not null")
-    a = quantiles.quantiles(present, ["v", "id"], probs, ["k"], small_group_rows=10)
-    b = quantiles.quantiles(present, ["v", "id"], probs, ["k"])
-    rows = lambda df: {(r["k"], r["column"]): r["q"] for r in df.collect()}
-    left, right = rows(a), rows(b)
-    assert left.keys() == right.keys()
-    for key in left:
-        assert left[key] == pytest.approx(right[key])
+    rows = skewed.where("k is not null")
+    got = {(r["k"], r["column"]): r["q"] for r in quantiles.quantiles(rows, ["v", "id"], probs, ["k"]).collect()}
+    frame = rows.toPandas()
+    want = {(k, c): list(np.quantile(g[c], probs)) for k, g in frame.groupby("k") for c in ("v", "id")}
+    assert got.keys() == want.keys()
+    for key in got:
+        assert got[key] == pytest.approx(want[key])
 
 
 def test_quantiles_of_whole_table_and_approximate(skewed):
     import numpy as np
 
     v = [r[0] for r in skewed.select("id").collect()]
-    (row,) = quantiles.quantiles(skewed, ["id"], [0.33, 0.8], small_group_rows=10).collect()
+    (row,) = quantiles.quantiles(skewed, ["id"], [0.33, 0.8]).collect()
     assert row["q"] == pytest.approx(list(np.quantile(v, [0.33, 0.8])))
     (row,) = quantiles.quantiles(skewed, ["id"], [0.5], approximate=True).collect()
     assert abs(row["q"][0] - 5000) <= 2
@@ -92,6 +94,14 @@ def test_mode_takes_smallest_on_ties(spark):
     assert {r["g"]: r["mode"] for r in quantiles.modes(df, "v", ["g"]).collect()} == {"a": "x"}
 
 
+def test_lookback_beyond_the_chunk_gives_the_same_rows(spark):
+    df = spark.range(30).select(F.lit("a").alias("k"), F.col("id").alias("t"), F.col("id").cast("double").alias("v"))
+    few = series.lookback_windows(df, ["k"], ["t"], "v", 12, chunk_rows=10)
+    many = series.lookback_windows(df, ["k"], ["t"], "v", 12, chunk_rows=100)
+    assert few.count() == many.count() == 18
+    assert few.select("t", "features").exceptAll(many.select("t", "features")).count() == 0
+
+
 @pytest.mark.parametrize("by", [["k"], []])
 def test_chunked_lookback_windows(skewed, by):
     present = skewed.where("k is not null")
@@ -112,7 +122,7 @@ def test_splits_cover_and_are_disjoint(skewed):
     split = splits.hash_split(skewed, "id", 80)
     counts = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
     assert sum(counts.values()) == 10_000 and 0.75 < counts["train"] / 10_000 < 0.85
-    strata = splits.stratified_split(skewed.where("k is not null"), "k", "id", 0.7, small_group_rows=10)
+    strata = splits.stratified_split(skewed.where("k is not null"), "k", "id", 0.7)
     for r in strata.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("split") == "train").alias("t")).collect():
         assert r["t"] == int(r["n"] * 0.7 + 1e-9)
 
