@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plainloom.llm import bpe, mixing, sql
+from plainloom.llm import bpe, licenses, mixing, quality, rules, sql, toxicity
 from plainloom.session import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,30 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_bpe")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.tokenise(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+@query("op1_quality")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.rate(docs, quality.fit(docs, quality.grades_of(table(spark, sf_dir, "labels"))))
+
+
+@query("op4_licenses")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op7_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learned = rules.fit(docs, table(spark, sf_dir, "labels"))
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return rules.judge(docs, learned).select(*columns)
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.fit(docs, table(spark, sf_dir, "labels")).score(docs)
+    predicted = (scored["score"] >= 0.5).cast("int")
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted.alias("predicted"))
