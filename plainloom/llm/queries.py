@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plainloom.llm import bpe, licenses, mixing, quality, rules, sql, toxicity
+from plainloom.llm import bpe, forest, licenses, mixing, quality, rules, secrets, simhash, sql, toxicity
 from plainloom.session import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,19 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.fit(docs, table(spark, sf_dir, "labels")).score(docs)
     predicted = (scored["score"] >= 0.5).cast("int")
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query("op2_secrets", sql.SECRETS)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op6_simhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words_each=3, most=3)
+
+
+@query("op10_neighbours")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = forest.usable(table(spark, sf_dir, "embeddings"))
+    return forest.neighbours(rows, rows.where("vec_id % 50 = 0"), k=5)

@@ -32,3 +32,42 @@ FROM ranked r
 JOIN (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS e FROM targets) t
   ON r.source IS NOT DISTINCT FROM t.source
 """
+
+_ASSIGN = (
+    r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|"""
+    r"""[aA][pP][iI]_?[kK][eE][yY]))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+)
+_SECRETS = {
+    "assign": (_ASSIGN, 2, 6),
+    "access": ("AKIA[A-Z0-9]+", 0, 20),
+    "hex": ("[0-9a-f]+", 0, 24),
+    "private_key": ("-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 0),
+    "github": ("gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
+    "slack": ("xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+    "google": ("AIza[0-9A-Za-z_-]{35}", 0, 0),
+    "jwt": (r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 0),
+}
+_MATCHES = " UNION ALL ".join(
+    f"""SELECT row, {k} AS place, '{kind}' AS kind, unnest(range(1, len(whole) + 1)) AS i, whole, part, gaps, {least} AS least
+    FROM (SELECT row, regexp_extract_all(text, '{pattern}', 0) AS whole, regexp_extract_all(text, '{pattern}', {group}) AS part,
+                 string_split_regex(text, '{pattern}') AS gaps FROM texts)"""
+    for k, (kind, (pattern, group, least)) in enumerate(_SECRETS.items())
+)
+SECRETS = f"""
+WITH texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+matches AS ({_MATCHES}),
+placed AS (
+  SELECT row, place, kind, len(whole[i])::BIGINT AS size, len(part[i]) AS given, least,
+         (sum(len(gaps[i]) + len(whole[i])) OVER (PARTITION BY row, kind ORDER BY i))::BIGINT AS finish FROM matches),
+kept AS (SELECT row, place, kind, finish - size AS start, kind || ':' || (finish - size) || ':' || finish AS span
+         FROM placed WHERE given >= least),
+found AS (
+  SELECT row, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS k,
+         count(*) FILTER (kind = 'hex') AS h,
+         string_agg(span, ',' ORDER BY start, place) FILTER (place < 3) AS base,
+         string_agg(span, ',' ORDER BY start, place) AS spans
+  FROM kept GROUP BY row)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(k, 0)::BIGINT AS n_access, coalesce(h, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN found USING (row)
+"""
