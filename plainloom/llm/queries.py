@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plainloom.llm import bpe, forest, licenses, mixing, quality, rules, secrets, simhash, sql, toxicity
+from plainloom.llm import bpe, forest, licenses, mixing, quality, repeats, rules, secrets, simhash, sql, toxicity
 from plainloom.session import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = forest.usable(table(spark, sf_dir, "embeddings"))
     return forest.neighbours(rows, rows.where("vec_id % 50 = 0"), k=5)
+
+
+@query("op3_repeats")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))

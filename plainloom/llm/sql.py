@@ -48,7 +48,9 @@ _SECRETS = {
     "jwt": (r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 0),
 }
 _MATCHES = " UNION ALL ".join(
-    f"""SELECT row, {k} AS place, '{kind}' AS kind, unnest(range(1, len(whole) + 1)) AS i, whole, part, gaps, {least} AS least
+    f"""SELECT row, {k} AS place, '{kind}' AS kind, {least} AS least,
+           unnest(list_zip(range(1, len(gaps)), list_transform(whole, lambda x: len(x)),
+                           list_transform(part, lambda x: len(x)), list_transform(gaps[:-2], lambda x: len(x)))) AS m
     FROM (SELECT row, regexp_extract_all(text, '{pattern}', 0) AS whole, regexp_extract_all(text, '{pattern}', {group}) AS part,
                  string_split_regex(text, '{pattern}') AS gaps FROM texts)"""
     for k, (kind, (pattern, group, least)) in enumerate(_SECRETS.items())
@@ -57,8 +59,8 @@ SECRETS = f"""
 WITH texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
 matches AS ({_MATCHES}),
 placed AS (
-  SELECT row, place, kind, len(whole[i])::BIGINT AS size, len(part[i]) AS given, least,
-         (sum(len(gaps[i]) + len(whole[i])) OVER (PARTITION BY row, kind ORDER BY i))::BIGINT AS finish FROM matches),
+  SELECT row, place, kind, m[2]::BIGINT AS size, m[3] AS given, least,
+         (sum(m[4] + m[2]) OVER (PARTITION BY row, kind ORDER BY m[1]))::BIGINT AS finish FROM matches),
 kept AS (SELECT row, place, kind, finish - size AS start, kind || ':' || (finish - size) || ':' || finish AS span
          FROM placed WHERE given >= least),
 found AS (
