@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from plainloom.llm import bpe, forest, licenses, mixing, quality, repeats, rules, secrets, simhash, sql, toxicity
 from plainloom.session import ship, table
 
@@ -88,3 +90,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_repeats")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

@@ -40,7 +40,7 @@ LENGTH, SEED = 200, 40
 #: Bytes of a text that are looked at at once.
 PIECE = 1 << 20
 #: Regions of one anchor that are sorted together, and regions a task, about.
-BLOCK_REGIONS, TASK_REGIONS = 4_096, 16_000
+BLOCK_REGIONS, TASK_REGIONS = 4_096, 6_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _PLACES = 24  # low bits that hold a place within a piece
 
