@@ -108,5 +108,6 @@ def mix(docs: DataFrame, seed: int = 0, **targets) -> DataFrame:
     sized = stage(sized)
     drawn = systematic_copies(sized, source_targets(sized, **targets), seed).where("copies > 0")
     drawn = drawn.select(F.col("row").alias(row), F.col("copies").alias(copies))
-    repeated = kept.join(drawn, row).withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies))))
+    # The draws grow with the corpus: they are never broadcast, and texts are hashed, not sorted.
+    repeated = kept.join(drawn.hint("shuffle_hash"), row).withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies))))
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])

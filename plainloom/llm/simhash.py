@@ -139,4 +139,5 @@ def keep_one(docs: DataFrame, words_each: int = 3, most: int = 3) -> DataFrame:
     roots = components(links(distinct.select("fp"), most)).withColumnRenamed("node", "fp")
     rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     first = stage(rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row)))
-    return kept.join(first, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The rows that stay grow with the corpus: their numbers are never broadcast, and texts are hashed, not sorted.
+    return kept.join(first.hint("shuffle_hash"), row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
