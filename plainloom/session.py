@@ -75,6 +75,17 @@ def _stage_root(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/plainloom-{spark.sparkContext.applicationId}"
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder, removed at the application's end."""
+    root = _stage_root(spark)
+    if root not in _removed_at_exit:
+        folder, files = _folder(spark, root)
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+        _removed_at_exit.add(root)
+    return f"{root}/{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -82,13 +93,8 @@ def stage(df: DataFrame) -> DataFrame:
     different partition boundaries. Parquet keeps later column pruning.
     """
     spark = df.sparkSession
-    root = _stage_root(spark)
-    path = f"{root}/{uuid.uuid4().hex}"
+    path = scratch(spark)
     df.write.parquet(path)
-    if root not in _removed_at_exit:
-        folder, files = _folder(spark, root)
-        files.deleteOnExit(folder)
-        _removed_at_exit.add(root)
     return spark.read.schema(df.schema).parquet(path)
 
 
