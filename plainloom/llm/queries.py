@@ -9,8 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from plainloom.llm import bpe, forest, licenses, mixing, quality, repeats, rules, secrets, simhash, sql, toxicity
-from plainloom.session import ship, table
+from plainloom.llm import (
+    bpe,
+    digest_index,
+    forest,
+    lexical,
+    licenses,
+    mixing,
+    quality,
+    repeats,
+    rules,
+    runs,
+    secrets,
+    simhash,
+    sql,
+    toxicity,
+)
+from plainloom.session import scratch, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,6 +107,23 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+@query("op11_exact", sql.EXACT)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    index = digest_index.DigestIndex.open(spark, scratch(spark), digest_index.buckets_for(docs))
+    return index.add(docs)
+
+
+@query("op12_lexical", sql.LEXICAL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+@query("op13_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.scan(table(spark, sf_dir, "documents"), planted=True)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

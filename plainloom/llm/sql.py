@@ -73,3 +73,34 @@ SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(k, 0)::BIGINT AS n_a
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM texts LEFT JOIN found USING (row)
 """
+
+EXACT = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY text ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(text) AS text_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+WINDOW same AS (PARTITION BY text)
+"""
+
+_TERMS = (
+    """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), """
+    r"""'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+)
+LEXICAL = f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS terms FROM documents),
+items AS (SELECT row_number() OVER () AS item, item_id, {_TERMS} AS terms FROM benchmark),
+totals AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM docs),
+asked AS (SELECT item, term, count(*) AS times FROM (SELECT item, unnest(terms) AS term FROM items) GROUP BY ALL),
+held AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM docs) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM held, totals GROUP BY term, n_docs),
+norms AS (SELECT row, doc_id, 25 + (75 * len(terms)::BIGINT * n_docs) // n_terms AS m FROM docs, totals),
+scored AS (
+  SELECT item, row, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN norms USING (row)
+  GROUP BY item, row),
+ranked AS (
+  SELECT item, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored JOIN docs USING (row) WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked JOIN items USING (item) WHERE rank <= 10
+"""
