@@ -55,7 +55,9 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+    """Cosine of two vectors; 0 if one of them is zero."""
+    sizes = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
+    return F.when(sizes == 0, 0.0).otherwise(dot(a, b) / F.nullif(sizes, F.lit(0.0)))
 
 
 def any_nonzero(values: Column) -> Column:

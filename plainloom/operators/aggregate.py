@@ -29,7 +29,7 @@ def value_shares(df: DataFrame, column: str, name: str = "share") -> DataFrame:
 
 
 def top_k_and_others(df: DataFrame, column: str, k: int, others: str = "Others") -> DataFrame:
-    """The k most frequent values, and everything beyond them as one row, with shares.
+    """The k most frequent values, and everything beyond them (if anything is) as one row, with shares.
 
     Ranked by count, then value. The top k come from a top-k sort; the rest is the
     total minus the top, so nothing is ranked in one task.
@@ -37,7 +37,7 @@ def top_k_and_others(df: DataFrame, column: str, k: int, others: str = "Others")
     counts = value_counts(df, [column])
     top = counts.orderBy(F.col("n").desc(), F.col(column)).limit(k)
     total = counts.agg(F.sum("n")).scalar()
-    rest = top.agg((total - F.sum("n")).alias("n")).select(F.lit(others).alias(column), "n")
+    rest = top.agg((total - F.sum("n")).alias("n")).where("n > 0").select(F.lit(others).alias(column), "n")
     return top.unionByName(rest).withColumn("share", F.col("n") / total)
 
 
@@ -56,6 +56,6 @@ def rfm(
 
 
 def arg_max(df: DataFrame, by: Sequence[str], value: str, score: str, name: str) -> DataFrame:
-    """Value with the highest score per group, the smallest value on ties."""
-    best = F.min(F.struct((-F.col(score)).alias("s"), F.col(value).alias("v")))
+    """Value with the highest score per group, the smallest value on ties; null if no score is known."""
+    best = F.min(F.when(F.col(score).isNotNull(), F.struct((-F.col(score)).alias("s"), F.col(value).alias("v"))))
     return df.groupBy(*by).agg(best.alias("_b")).select(*by, F.col("_b.v").alias(name))

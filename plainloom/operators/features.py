@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plainloom.operators.ordering import lookup, number_rows
-
-MAX_DUMMY_CATEGORIES = 1000
+from plainloom.session import stage
 
 
 def standard_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -60,16 +59,34 @@ def minmax_by_group(df: DataFrame, column: str, by: Sequence[str], name: str) ->
     return joined.withColumn(name, (F.col(column) - F.col("_lo")) / span).drop("_lo", "_hi")
 
 
-def categories(df: DataFrame, column: str, limit: int = MAX_DUMMY_CATEGORIES) -> list:
-    """Sorted distinct non-null values, refused beyond ``limit``: use a sparse encoder there."""
-    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} categories; use StringIndexer and OneHotEncoder")
+def categories(df: DataFrame, column: str) -> list:
+    """Sorted distinct non-null values."""
+    found = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
     return sorted(r[0] for r in found)
 
 
+def dummy_positions(df: DataFrame, columns: Sequence[str], drop_first: bool = True, name: str = "positions") -> DataFrame:
+    """The dummies of ``columns`` as one sparse vector: sorted ``positions`` of the ones among ``width`` entries.
+
+    For any number of categories: their codes come from ranged positions and a join, so
+    neither a list of categories nor a column for each is made. The first column's
+    categories come first, in their order; the null of a column sets no position.
+    """
+    first, out, offset, places = int(drop_first), df, F.lit(0).cast("long"), []
+    for i, c in enumerate(columns):
+        out = label_encode(out, c, f"_code{i}")
+        own = F.col(f"_code{i}") - first
+        places.append(F.when(own >= 0, own + offset))
+        offset = offset + F.greatest(df.agg(F.count_distinct(c)).scalar() - first, F.lit(0))
+    return out.select(*df.columns, F.array_compact(F.array(*places)).alias(name), offset.alias("width"))
+
+
 def dummies(df: DataFrame, columns: Sequence[str], drop_first: bool = True) -> DataFrame:
-    """One 0/1 column per category in place of each column; a null row is all zero."""
+    """One 0/1 column per category in place of each column; a null row is all zero.
+
+    The columns of the result are the categories, so they pass through the driver; for
+    more of them than a table can have columns use ``dummy_positions``.
+    """
     made = []
     for c in columns:
         values = categories(df, c)[1 if drop_first else 0 :]
@@ -112,5 +129,5 @@ def mixed_columns(
 def label_encode(df: DataFrame, column: str, name: str) -> DataFrame:
     """Alphabetical codes from 0; null stays null."""
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
-    codes = number_rows(values, [], [column], "_p").select(column, (F.col("_p") - 1).alias(name))
+    codes = number_rows(stage(values), [], [column], "_p").select(column, (F.col("_p") - 1).alias(name))
     return lookup(df, codes, [column], "left")

@@ -39,8 +39,9 @@ def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") ->
     return VectorAssembler(inputCols=list(columns), outputCol=output).transform(df)
 
 
-def fit(estimator: Estimator, df: DataFrame) -> Model:
-    with reused(df) as data:
+def fit(estimator: Estimator, df: DataFrame, columns: Sequence[str] = ()) -> Model:
+    """Fit on ``df``, kept meanwhile; only the named columns, if any are, are kept."""
+    with reused(df.select(*columns) if columns else df) as data:
         return estimator.fit(data)
 
 

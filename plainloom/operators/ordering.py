@@ -1,9 +1,11 @@
 """Row positions and running totals that never gather a group in one task.
 
 A plain ``row_number() over (partition by key order by ts)`` sends a whole key to
-one task, and without a key the whole table. Here rows are range-partitioned on
-(key, order), so a hot key spreads over many partitions, and only one small row per
-(key, partition) is windowed to find where each partition starts.
+one task, and without a key the whole table. Here the table is cut into pieces, ranges of
+(key, order) of about ``PIECE_ROWS`` rows, by bounds taken from a hashed sample. Windows
+run within (key, piece); one small row per (key, piece) tells where each piece starts.
+The bounds are written once, so a row belongs to the same piece in every job and in every
+task that has to run again; the rows themselves are shuffled once and never staged.
 """
 
 from __future__ import annotations
@@ -15,7 +17,8 @@ from pyspark.sql import functions as F
 
 from plainloom.session import stage
 
-_LOCAL_BITS = 33  # monotonically_increasing_id: partition in the high bits, row below
+#: Rows of a piece, about; the most pieces; sampled rows for each.
+PIECE_ROWS, MOST_PIECES, SAMPLED = 1_000_000, 1 << 16, 16
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -46,20 +49,74 @@ def lookup(
     return join_null_safe(facts, sized, keys, how) if null_safe else facts.join(sized, list(keys), how)
 
 
-def _starts(staged: DataFrame, by: Sequence[str], weight: Column, first: Column) -> DataFrame:
-    """Per (group, partition): total weight of earlier partitions and of the group."""
-    per_part = staged.groupBy(*by, "_pid").agg(weight.alias("_w"), first.alias("_first"))
+def with_pieces(
+    df: DataFrame, by: Sequence[str], order: Sequence[str | Column], name: str, piece_rows: int | None = None
+) -> tuple[DataFrame, int]:
+    """``df`` with the number of every row's piece, and the number of pieces.
+
+    Reads ``df`` once for its count and, if it has more rows than a piece, once for the
+    bounds; stage it before if it is dear to compute. ``order`` ascends: negate numbers to
+    let them fall.
+    """
+    rows = df.count()
+    wanted = min(MOST_PIECES, -(-rows // (piece_rows or PIECE_ROWS)))
+    if wanted <= 1:
+        return df.withColumn(name, F.lit(0)), 1
+    key = F.struct(*[F.col(c) if isinstance(c, str) else c for c in (*by, *order)])
+    one_in = max(1, rows // (wanted * SAMPLED))
+    sample = df.select(key.alias("key")).where(F.pmod(F.xxhash64("key"), F.lit(one_in)) == 0)
+    every = sample.agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    step = F.greatest(F.lit(1), (F.size("keys") / wanted).cast("int"))
+    bounds = F.col("_bounds")
+    known = stage(every.select(F.filter("keys", lambda _, i: i % step == step - 1).alias("bounds"))).scalar()
+    # Binary search for the number of bounds up to the row's key.
+    size = F.size(bounds)
+    begin = F.struct(F.lit(0).alias("low"), size.alias("high"))
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        goes_up = F.get(bounds, middle) <= key
+        return F.when(at["low"] >= at["high"], at).otherwise(
+            F.struct(
+                F.when(goes_up, middle + 1).otherwise(at["low"]).alias("low"),
+                F.when(goes_up, at["high"]).otherwise(middle).alias("high"),
+            )
+        )
+
+    steps = F.array(*[F.lit(0)] * (MOST_PIECES * 2).bit_length())
+    found = df.withColumn("_bounds", known).withColumn(name, F.aggregate(steps, begin, halve, lambda at: at["low"]))
+    return found.drop("_bounds"), wanted
+
+
+def _starts(placed: DataFrame, by: Sequence[str], weight: Column) -> DataFrame:
+    """Per (group, piece): total weight of earlier pieces and of the group."""
+    per_piece = placed.groupBy(*by, "_piece").agg(weight.alias("_w"))
     group = Window.partitionBy(*by)
-    before = group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    return per_part.select(
+    before = group.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    return per_piece.select(
         *by,
-        "_pid",
-        "_first",
+        "_piece",
         F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_before"),
         F.sum("_w").over(group).alias("_total"),
     )
 
 
+def _summed(
+    df: DataFrame, by: Sequence[str], order: Sequence[str | Column], own: Column, weight: Column, name: str, total: str | None
+) -> DataFrame:
+    """Adds ``own`` over the rows of the group so far, and the group's ``weight``."""
+    placed, pieces = with_pieces(df, by, order, "_piece")
+    group = Window.partitionBy(*by, "_piece")
+    local = placed.withColumn(name, own.over(group.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+    if pieces == 1:
+        return (local.withColumn(total, weight.over(group)) if total else local).drop("_piece")
+    known = lookup(local, _starts(placed, by, weight), [*by, "_piece"], null_safe=True)
+    out = known.withColumn(name, F.col(name) + F.col("_before"))
+    if total:
+        out = out.withColumnRenamed("_total", total)
+    return out.drop("_piece", "_before", "_total")
+
+
 def number_rows(
     df: DataFrame,
     by: Sequence[str],
@@ -67,23 +124,13 @@ def number_rows(
     name: str = "position",
     total: str | None = None,
 ) -> DataFrame:
-    """1-based position of every row in its ``by`` group under a total ``order``.
+    """1-based position of every row in its ``by`` group under a total, ascending ``order``.
 
-    ``total`` adds the group's row count. Groups are always range-partitioned, so no
-    task holds a whole group of whatever size.
+    ``total`` adds the group's row count. See ``with_pieces`` for how often ``df`` is read.
     """
-    ranged = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
-    staged = stage(ranged.withColumn("_row", F.monotonically_increasing_id()))
-    staged = staged.withColumn("_pid", F.shiftright("_row", _LOCAL_BITS)).withColumn(
-        "_idx", F.col("_row").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    )
-    starts = _starts(staged, by, F.count(F.lit(1)), F.min("_idx"))
-    out = lookup(staged, starts, [*by, "_pid"], null_safe=True).withColumn(
-        name, F.col("_idx") - F.col("_first") + F.col("_before") + 1
+    return _summed(df, by, order, F.row_number(), F.count(F.lit(1)), name, total).withColumn(
+        name, F.col(name).cast("long")
     )
-    if total:
-        out = out.withColumnRenamed("_total", total)
-    return out.drop("_row", "_pid", "_idx", "_first", "_before", "_total")
 
 
 def running_total(
@@ -95,17 +142,7 @@ def running_total(
     total: str = "total",
 ) -> DataFrame:
     """Cumulative ``weight`` in each ``by`` group plus the group's total weight."""
-    ranged = df.repartitionByRange(*by, *order)
-    staged = stage(ranged.withColumn("_pid", F.spark_partition_id()))
-    starts = _starts(staged, by, F.sum(weight), F.lit(0))
-    inside = Window.partitionBy(*by, "_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = staged.withColumn("_local", F.sum(weight).over(inside))
-    return (
-        lookup(local, starts, [*by, "_pid"], null_safe=True)
-        .withColumn(name, F.col("_local") + F.col("_before"))
-        .withColumnRenamed("_total", total)
-        .drop("_pid", "_first", "_before", "_local")
-    )
+    return _summed(df, by, order, F.sum(weight), F.sum(weight), name, total)
 
 
 def positional_slice(

@@ -8,7 +8,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plainloom.operators.quantiles import melt, quantiles
+from plainloom.operators.ordering import lookup
+from plainloom.operators.quantiles import melt, number, quantiles
 
 
 def _unstack(row: DataFrame, columns: Sequence[str], fields: dict[str, str]) -> DataFrame:
@@ -100,7 +101,7 @@ def correlation_with_target(df: DataFrame, columns: Sequence[str], target: str)
 
 
 def pooled_t(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Two-sample t statistic with pooled variance, and its degrees of freedom."""
+    """Two-sample t statistic with pooled variance, and its degrees of freedom; null without variance."""
     row = df.agg(
         *[
             f(c).alias(f"{n}_{i}")
@@ -110,8 +111,9 @@ def pooled_t(df: DataFrame, a: str, b: str) -> DataFrame:
     )
     n1, n2 = F.col("n_0"), F.col("n_1")
     dof = n1 + n2 - 2
-    pooled = ((n1 - 1) * F.col("v_0") + (n2 - 1) * F.col("v_1")) / dof
-    t = (F.col("m_0") - F.col("m_1")) / F.sqrt(pooled * (F.lit(1.0) / n1 + F.lit(1.0) / n2))
+    pooled = F.try_divide((n1 - 1) * F.col("v_0") + (n2 - 1) * F.col("v_1"), dof)
+    spread = F.sqrt(pooled * (F.try_divide(F.lit(1.0), n1) + F.try_divide(F.lit(1.0), n2)))
+    t = F.try_divide(F.col("m_0") - F.col("m_1"), spread)
     return row.select(t.alias("t"), dof.alias("dof"))
 
 
@@ -139,23 +141,22 @@ def histogram(df: DataFrame, column: str, bins: int, hue: str | None = None) ->
 
 
 def box_stats(df: DataFrame, column: str, by: Sequence[str], approximate: bool = False) -> DataFrame:
-    """Quartiles, whiskers (furthest values within 1.5 IQR) and outlier count per group."""
+    """Quartiles, whiskers (furthest values within 1.5 IQR) and outlier count per group; NaN is left out."""
     q = quantiles(df, [column], [0.25, 0.5, 0.75], by, approximate=approximate)
     q = q.select(
         *by, F.col("q")[0].alias("q25"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q75")
     )
-    x = F.col(column).cast("double")
+    x = F.col("_x")
     iqr = F.col("q75") - F.col("q25")
     inside = x.between(F.col("q25") - 1.5 * iqr, F.col("q75") + 1.5 * iqr)
-    # counted per value first, so a hot group reaches the join as distinct values
-    values = df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("_n"))
+    values = df.select(*by, number(column).alias("_x")).where("_x IS NOT NULL")
     return (
-        values.join(q, list(by))
+        lookup(values, q, by)
         .groupBy(*by, "q25", "median", "q75")
         .agg(
             F.min(F.when(inside, x)).alias("whisker_low"),
             F.max(F.when(inside, x)).alias("whisker_high"),
-            F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("n_outliers"),
+            F.count_if(~inside).alias("n_outliers"),
         )
     )
 

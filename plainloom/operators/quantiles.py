@@ -1,13 +1,27 @@
-"""Exact and approximate quantiles, medians and modes."""
+"""Exact and approximate quantiles, medians and modes.
+
+Exact quantiles are selected by narrowing ranges of values. The first pass over the
+table takes count, least and greatest value of every group and column. Each further pass
+cuts the ranges that hold a wanted rank into ``BINS`` bins and counts them, with the
+least and greatest value of each; a bin that holds a wanted rank is the range of the next
+pass, unless it has one value only or the rank is at its edge. Ranges of at most ``LEAF``
+values are listed, sorted, at the end. Nothing is sorted but those lists, and a pass
+shuffles at most a row per task and bin, whatever the size of a group.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plainloom.operators.ordering import running_total
+from plainloom.operators.ordering import join_null_safe
+from plainloom.session import stage
+
+#: Bins a range is cut into, and values of a range that may be listed.
+BINS, LEAF = 4_096, 4_096
 
 
 def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -22,15 +36,138 @@ def _per_column(
     df: DataFrame, columns: Sequence[str], by: Sequence[str], quantile: Callable[[Column], Column]
 ) -> DataFrame:
     """One aggregate per column in a single pass, turned to one row per column."""
-    numbers = [F.col(c).cast("double") for c in columns]
-    wide = df.groupBy(*by).agg(
-        *[quantile(F.when(~F.isnan(x), x)).alias(f"_q{i}") for i, x in enumerate(numbers)]
-    )
+    wide = df.groupBy(*by).agg(*[quantile(number(c)).alias(f"_q{i}") for i, c in enumerate(columns)])
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"_q{i}").alias("q")) for i, c in enumerate(columns)]
     long = wide.select(*by, F.explode(F.array(*rows)).alias("_s")).select(*by, "_s.column", "_s.q")
     return long.where(F.col("q").isNotNull())
 
 
+def number(column: str) -> Column:
+    """The column as double, null where it is no number."""
+    x = F.col(column).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+_RANGE = "size", "before", "n", "lo", "hi"
+
+
+def _ranks(probs: Sequence[float]) -> list[Column]:
+    """The two ranks, from 0, around every wanted place."""
+    out = []
+    for p in probs:
+        place = (F.col("size") - 1) * F.lit(float(p))
+        out += [F.floor(place), F.ceil(place)]
+    return out
+
+
+def _whole_ranges(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """(by..., c, size, before, n, lo, hi): one range for every group and column with a number; one pass."""
+    aggs, each = [], []
+    for i, c in enumerate(columns):
+        x, n = number(c), F.col(f"_n{i}")
+        aggs += [F.count(x).alias(f"_n{i}"), F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}")]
+        values = (F.lit(i), n, F.lit(0).cast("long"), n, F.col(f"_lo{i}"), F.col(f"_hi{i}"))
+        each.append(F.struct(*[v.alias(f) for v, f in zip(values, ("c", *_RANGE))]))
+    return df.groupBy(*by).agg(*aggs).select(*by, F.inline(F.array(*each))).where("n > 0")
+
+
+def _lists(ranges: DataFrame, columns: Sequence[str], by: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """The ranges that hold a wanted rank, as lists r0, r1, ... of the columns in one row a group.
+
+    ``told`` has the values of the wanted ranks that a range's edges tell; it is ``open`` if it holds another one.
+    """
+    told, open_, wanted = [], F.lit(False), F.lit(False)
+    after = F.col("before") + F.col("n")
+    for rank in _ranks(probs):
+        inside = (rank >= F.col("before")) & (rank < after)
+        least = (rank == F.col("before")) | (F.col("lo") == F.col("hi"))
+        value = F.when(inside & least, F.col("lo")).when(inside & (rank == after - 1), F.col("hi"))
+        told.append(value)
+        wanted, open_ = wanted | inside, open_ | (inside & value.isNull())
+    one = F.struct(*_RANGE, open_.alias("open"), F.array(*told).alias("told"))
+    lists = [F.collect_list(F.when(F.col("c") == i, F.col("_one"))).alias(f"r{i}") for i in range(len(columns))]
+    return ranges.where(wanted).select(*by, "c", one.alias("_one")).groupBy(*by).agg(*lists)
+
+
+def _in_ranges(df: DataFrame, columns: Sequence[str], by: Sequence[str], lists: list[list[Column]]) -> DataFrame:
+    """(by..., c, size, before, lo, hi, x): the numbers in one of the ranges of their column; null ranges hold none."""
+    found = []
+    for i, (c, ranges) in enumerate(zip(columns, lists)):
+        x, at = number(c), F.lit(None)
+        for r in ranges:
+            values = F.struct(*[r[f].alias(f) for f in ("size", "before", "lo", "hi")])
+            at = F.when(x.between(r["lo"], r["hi"]), values).otherwise(at)
+        if ranges:
+            found.append(F.struct(F.lit(i).alias("c"), at.alias("at"), x.alias("x")))
+    long = df.select(*by, F.explode(F.array(*found)).alias("_s")).where("_s.at IS NOT NULL")
+    return long.select(*by, "_s.c", "_s.at.*", "_s.x")
+
+
+def _bins(values: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Ranges like those given, each cut in bins; halves keep the width of a range finite."""
+    width = F.col("hi") / 2 - F.col("lo") / 2
+    share = F.nanvl((F.col("x") / 2 - F.col("lo") / 2) / F.nullif(width, F.lit(0.0)), F.lit(0.5))
+    inner = F.least(F.floor(F.coalesce(share, F.lit(0.5)) * BINS), F.lit(BINS - 1))
+    # The two edges never share a bin, so every pass narrows a range.
+    place = F.when(F.col("x") == F.col("lo"), 0).when(F.col("x") == F.col("hi"), BINS - 1).otherwise(inner)
+    cut = values.groupBy(*by, "c", "size", "before", place.cast("int").alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")
+    )
+    earlier = Window.partitionBy(*by, "c", "before").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.col("before") + F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    return cut.select(*by, "c", "size", reached.alias("before"), "n", "lo", "hi")
+
+
+def _listed(values: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(by..., c, size, told): the wanted ranks in ranges that are short enough to be listed."""
+    lists = values.groupBy(*by, "c", "size", "before").agg(F.sort_array(F.collect_list("x")).alias("_all"))
+    picks = [
+        F.when(rank >= F.col("before"), F.get("_all", (rank - F.col("before")).cast("int"))) for rank in _ranks(probs)
+    ]
+    return lists.select(*by, "c", "size", F.array(*picks).alias("told"))
+
+
+def _order_statistics(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """(by..., c, size, told): the values of the wanted ranks, each in one of the rows of a group and column.
+
+    Without groups the ranges are a few literals; with groups they are a staged table that joins the rows.
+    """
+    names = [f"r{i}" for i in range(len(columns))]
+    needed = df.select(*dict.fromkeys([*by, *columns]))
+    fits = {True: lambda r: r["open"] & (r["n"] <= LEAF), False: lambda r: r["open"] & (r["n"] > LEAF)}
+    found: list[DataFrame] = []
+
+    def inside(short: bool) -> DataFrame | None:
+        """The numbers in open ranges of at most, or more than, ``LEAF`` values; None if there is no such range."""
+        if not by:
+            kept = [[r for r in row[name] if r["open"] and (r["n"] <= LEAF) == short] for name in names]
+            lists = [[{f: F.lit(r[f]) for f in _RANGE} for r in ranges] for ranges in kept]
+            return _in_ranges(needed, columns, by, lists) if any(lists) else None
+        kept = table.select(*by, *[F.filter(name, fits[short]).alias(name) for name in names])
+        most = kept.agg(*[F.max(F.size(name)) for name in names]).first()
+        if not any(most):
+            return None
+        lists = [[F.get(name, F.lit(j)) for j in range(n or 0)] for name, n in zip(names, most)]
+        return _in_ranges(join_null_safe(needed, kept, by), columns, by, lists)
+
+    ranges = _whole_ranges(needed, columns, by)
+    while True:
+        table = _lists(ranges, columns, by, probs)
+        if by:
+            table = stage(table)
+        else:
+            row = table.first()
+            table = df.sparkSession.createDataFrame([row], table.schema)
+        for i, name in enumerate(names):
+            found.append(table.select(*by, F.inline(name)).select(*by, F.lit(i).alias("c"), "size", "told"))
+        listable, wide = inside(short=True), inside(short=False)
+        if listable is not None:
+            found.append(_listed(listable, by, probs))
+        if wide is None:
+            return reduce(DataFrame.unionByName, found)
+        ranges = _bins(wide, by)
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -41,32 +178,23 @@ def quantiles(
 ) -> DataFrame:
     """One row per (by, column): array ``q`` of linearly interpolated quantiles.
 
-    Equal values are counted first and the wanted ranks found in a running total, in
-    which no task holds a group, whatever its size.
+    Nulls and NaN are left out; a group without a number has no row. Runs its passes
+    over ``df`` when called.
     """
     by = list(by)
-    keys = [*by, "column"]
-    levels = F.array(*[F.lit(float(p)) for p in probs])
     if approximate:
+        levels = F.array(*[F.lit(float(p)) for p in probs])
         return _per_column(df, columns, by, lambda x: F.percentile_approx(x, levels, accuracy))
-    long = melt(df, columns, by).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
-    cum = running_total(counts, keys, ["value"], "_n", "_upto", "_size")
-
-    def at(rank):
-        return F.max(F.when((F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto")), F.col("value")))
-
-    picks = []
-    for i, p in enumerate(probs):
-        rank = (F.col("_size") - 1) * F.lit(float(p))
-        picks += [at(F.floor(rank)).alias(f"_lo{i}"), at(F.ceil(rank)).alias(f"_hi{i}")]
-    picked = cum.groupBy(*keys, "_size").agg(*picks)
+    found = _order_statistics(df, columns, probs, by)
+    picks = [F.max(F.col("told")[j]).alias(f"v{j}") for j in range(2 * len(probs))]
+    picked = found.groupBy(*by, "c", "size").agg(*picks)
     values = []
     for i, p in enumerate(probs):
-        rank = (F.col("_size") - 1) * F.lit(float(p))
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        values.append(lo + (hi - lo) * (rank - F.floor(rank)))
-    return picked.select(*keys, F.array(*values).alias("q"))
+        place = (F.col("size") - 1) * F.lit(float(p))
+        lo, hi = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
+        values.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (place - F.floor(place))))
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("c") + 1)
+    return picked.select(*by, name.alias("column"), F.array(*values).alias("q"))
 
 
 def quantile_struct(df: DataFrame, columns: Sequence[str], prob: float, **kwargs) -> DataFrame:

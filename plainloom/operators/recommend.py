@@ -11,14 +11,15 @@ from plainloom.functions.arrays import cosine
 from plainloom.operators.features import minmax_fit, minmax_scale
 from plainloom.operators.quantiles import quantiles
 from plainloom.operators.textstats import term_frequencies, tfidf_smooth, vocabulary
+from plainloom.session import stage
 
 
 def weighted_rating(df: DataFrame, rating: str, votes: str, prob: float = 0.8, name: str = "weighted") -> DataFrame:
-    """(R v + C m) / (v + m) with m the ``prob`` quantile of votes and C the mean rating."""
+    """(R v + C m) / (v + m) with m the ``prob`` quantile of votes and C the mean rating; null if v + m is 0."""
     m = quantiles(df, [votes], [prob]).select(F.col("q")[0]).scalar()
     c = df.agg(F.avg(rating)).scalar()
     r, v = F.col(rating), F.col(votes)
-    return df.withColumn(name, (r * v + c * m) / (v + m))
+    return df.withColumn(name, F.try_divide(r * v + c * m, v + m))
 
 
 def blend_scores(df: DataFrame, weights: Mapping[str, float], name: str = "score") -> DataFrame:
@@ -42,14 +43,14 @@ def content_similarity(
 ) -> DataFrame:
     """TF-IDF cosine of every item with one anchor item; items sharing no term give 0.
 
-    Only postings of the anchor's own terms are read on; no item pairs are formed.
-    What is broadcast is bounded by one item's text.
+    Only postings of the anchor's own terms are read on; no item pairs are formed. The
+    anchor's terms are written first, so the planner knows their size.
     """
     tf = term_frequencies(items, key, tokens)
     n = items.agg(F.count(F.lit(1))).scalar()
     weights = tfidf_smooth(tf, vocabulary(tf, min_df=min_df), n, key)
     mine = weights.where(F.col(key) == F.lit(anchor)).select("term", F.col("weight").alias("_a"))
-    hits = weights.join(F.broadcast(mine), "term").groupBy(key).agg(F.sum(F.col("weight") * F.col("_a")).alias("_s"))
+    hits = weights.join(stage(mine), "term").groupBy(key).agg(F.sum(F.col("weight") * F.col("_a")).alias("_s"))
     return items.join(hits, key, "left").withColumn("similarity", F.coalesce("_s", F.lit(0.0))).drop("_s")
 
 

@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plainloom.operators.ordering import number_rows
-
-CHUNK_ROWS = 100_000
+from plainloom.operators.ordering import PIECE_ROWS, lookup, with_pieces
 
 
 def lookback_windows(
@@ -18,27 +16,36 @@ def lookback_windows(
     order: Sequence[str],
     value: str,
     lookback: int,
-    chunk_rows: int = CHUNK_ROWS,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Rows with ``features`` = the ``lookback`` values before them and ``target`` = their own.
 
-    Rows without a full history are left out; null values are dropped first. Series
-    are numbered and cut into chunks of ``chunk_rows`` rows (of ``lookback`` rows if
-    that is more), each carrying the last ``lookback`` rows of the chunk before it,
-    so no task holds a whole long series.
+    Rows without a full history are left out; null values are dropped first. Windows run
+    within (series, piece). Each piece of a series hands the last ``lookback`` values it
+    knows on to the next: a small row per (series, piece), whatever the length of a series.
     """
-    rows = df.where(F.col(value).isNotNull())
-    back = (-lookback, -1)
-    chunk_rows = max(chunk_rows, lookback)
-    numbered = number_rows(rows, by, order, "_pos")
-    chunk = F.floor((F.col("_pos") - 1) / chunk_rows)
-    in_tail = (F.col("_pos") - 1) % chunk_rows >= chunk_rows - lookback
-    copies = F.when(in_tail, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
-    spread = numbered.withColumn("_home", chunk).withColumn("_chunk", F.explode(copies))
-    window = Window.partitionBy(*by, "_chunk").orderBy("_pos").rowsBetween(*back)
-    out = spread.withColumn("features", F.collect_list(value).over(window))
-    own = (F.col("_home") == F.col("_chunk")) & (F.size("features") == lookback)
-    return out.where(own).withColumn("target", F.col(value)).drop("_pos", "_home", "_chunk")
+    placed, pieces = with_pieces(df.where(F.col(value).isNotNull()), by, order, "_piece", piece_rows)
+    group = Window.partitionBy(*by, "_piece")
+    out = placed.withColumn("features", F.collect_list(value).over(group.orderBy(*order).rowsBetween(-lookback, -1)))
+    if pieces > 1:
+        carried = lookup(out, _carried(placed, by, order, value, lookback), [*by, "_piece"], "left", null_safe=True)
+        known = F.concat(F.coalesce("_carried", F.array().cast(out.schema["features"].dataType)), "features")
+        out = carried.withColumn("features", F.slice(known, F.lit(-lookback), F.lit(lookback))).drop("_carried")
+    return out.where(F.size("features") == lookback).withColumn("target", F.col(value)).drop("_piece")
+
+
+def _carried(placed: DataFrame, by: Sequence[str], order: Sequence[str], value: str, lookback: int) -> DataFrame:
+    """(by..., _piece, _carried): the last values of the series before each of its pieces, at most ``lookback``."""
+    group = Window.partitionBy(*by, "_piece")
+    last = group.orderBy(*[(F.col(c) if isinstance(c, str) else c).desc() for c in order])
+    edges = placed.withColumn("_back", F.row_number().over(last)).where(F.col("_back") <= lookback)
+    edge = F.sort_array(F.collect_list(F.struct((-F.col("_back")).alias("at"), F.col(value).alias("value"))))
+    edges = edges.groupBy(*by, "_piece").agg(edge["value"].alias("_edge"))
+    # Each piece of the series has a value at least, so as many pieces before it are enough.
+    before = Window.partitionBy(*by).orderBy("_piece").rowsBetween(-lookback, -1)
+    carried = F.flatten(F.collect_list("_edge").over(before))
+    few = F.slice(carried, F.greatest(F.lit(1), F.size(carried) - lookback + 1), F.lit(lookback))
+    return edges.select(*by, "_piece", few.alias("_carried"))
 
 
 def align_predictions(

@@ -15,7 +15,8 @@ from plainloom.functions.text import word_ngrams
 from plainloom.operators.ordering import lookup, number_rows
 from plainloom.session import stage
 
-MAX_BROADCAST_TERMS = 100_000
+#: Beyond so many rows a group Spark does not cut groups before the shuffle.
+GROUP_LIMIT, GROUP_PARTS = 1_000, 32
 
 
 def explode_tokens(df: DataFrame, keys: Sequence[str], tokens: Column, name: str = "term") -> DataFrame:
@@ -32,8 +33,13 @@ def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column | str
     """First ``k`` rows per group under a total order.
 
     Spark limits each task to its own first k rows per group before the shuffle
-    (WindowGroupLimit), so a hot group moves k rows per task.
+    (WindowGroupLimit), so a hot group moves k rows per task. It does so up to
+    ``GROUP_LIMIT`` rows; beyond, groups are first cut within ``GROUP_PARTS`` parts.
     """
+    if k >= GROUP_LIMIT:
+        part = F.pmod(F.monotonically_increasing_id(), F.lit(GROUP_PARTS))
+        within = F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order))
+        df = df.withColumn("_part", part).withColumn("_r", within).where(F.col("_r") <= k).drop("_part", "_r")
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
     return df.withColumn("_r", rank).where(F.col("_r") <= k).drop("_r")
 
@@ -55,13 +61,12 @@ def document_frequencies(tf: DataFrame) -> DataFrame:
 def vocabulary(tf: DataFrame, size: int | None = None, min_df: int = 1) -> DataFrame:
     """Terms in at least ``min_df`` documents; the ``size`` most frequent, ties by term.
 
-    A capped vocabulary has a known bound and is broadcast.
+    A capped vocabulary is written, so the planner knows whether it can be broadcast.
     """
     terms = document_frequencies(tf).where(F.col("df") >= min_df)
     if size is None:
         return terms
-    capped = terms.orderBy(F.col("total").desc(), "term").limit(size)
-    return F.broadcast(capped) if size <= MAX_BROADCAST_TERMS else capped
+    return stage(terms.orderBy(F.col("total").desc(), "term").limit(size))
 
 
 def tfidf_plain(tf: DataFrame, terms: DataFrame, n_docs: Column) -> DataFrame:
@@ -83,16 +88,17 @@ def tfidf_smooth(tf: DataFrame, terms: DataFrame, n_docs: Column, key: str) -> D
 
 def vocabulary_index(counts: DataFrame, name: str = "token_id") -> DataFrame:
     """Ids from 1 by falling count, ties by term."""
-    return number_rows(counts, [], [F.col("n").desc(), "term"], name)
+    return number_rows(stage(counts), [], [-F.col("n"), F.col("term")], name)
 
 
 def encode_tokens(df: DataFrame, keys: Sequence[str], tokens: Column, index: DataFrame) -> DataFrame:
-    """Tokens to vocabulary ids in their order; unknown tokens are left out, rows without ids kept."""
-    pieces = df.select(*keys, F.posexplode_outer(tokens).alias("_pos", "term"))
+    """Tokens to vocabulary ids in their order; unknown tokens are left out, rows without ids and repeated rows kept."""
+    rows = df.select(*keys, F.monotonically_increasing_id().alias("_row"), tokens.alias("_tokens"))
+    pieces = rows.select(*keys, "_row", F.posexplode_outer("_tokens").alias("_pos", "term"))
     joined = lookup(pieces, index.select("term", "token_id"), ["term"], "left")
     pairs = F.collect_list(F.when(F.col("token_id").isNotNull(), F.struct("_pos", "token_id")))
     ids = F.transform(F.array_sort(F.col("_p")), lambda p: p["token_id"])
-    return joined.groupBy(*keys).agg(pairs.alias("_p")).select(*keys, ids.alias("ids"))
+    return joined.groupBy(*keys, "_row").agg(pairs.alias("_p")).select(*keys, ids.alias("ids"))
 
 
 def vocabulary_map(df: DataFrame, tokens: Column, rule) -> DataFrame:
@@ -101,11 +107,13 @@ def vocabulary_map(df: DataFrame, tokens: Column, rule) -> DataFrame:
 
 
 def normalise_tokens(df: DataFrame, keys: Sequence[str], tokens: Column, mapping: DataFrame) -> DataFrame:
-    """Replace tokens by the (term, normal) map; tokens outside the map stay."""
-    pieces = df.select(*keys, F.posexplode(tokens).alias("_pos", "term"))
+    """Replace tokens by the (term, normal) map; tokens outside the map stay, rows without tokens get none."""
+    rows = df.select(*keys, F.monotonically_increasing_id().alias("_row"), tokens.alias("_tokens"))
+    pieces = rows.select(*keys, "_row", F.posexplode_outer("_tokens").alias("_pos", "term"))
     mapped = lookup(pieces, mapping, ["term"], "left").withColumn("_t", F.coalesce("normal", "term"))
-    ordered = F.array_sort(F.collect_list(F.struct("_pos", "_t")))
-    return mapped.groupBy(*keys).agg(F.transform(ordered, lambda p: p["_t"]).alias("tokens"))
+    pairs = F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_t")))
+    out = mapped.groupBy(*keys, "_row").agg(F.transform(F.array_sort(pairs), lambda p: p["_t"]).alias("tokens"))
+    return out.drop("_row")
 
 
 def lexicon_sentiment(df: DataFrame, keys: Sequence[str], tokens: Column, lexicon: DataFrame) -> DataFrame:

@@ -263,17 +263,19 @@ def profiled_items(spark, sf):
          F.concat(X.clean_comma_parts(F.col("p_brand")), F.col("p_size").cast("string"))]
     )
     parts = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), bag.alias("bag"))
-    return stage(scored_items(spark, sf).join(parts, "id", "left"))
+    # unsold parts have a profile too; without sales their score is 0
+    every = parts.join(scored_items(spark, sf), "id", "left")
+    return stage(every.withColumn("score", F.coalesce("score", F.lit(0.0))))
 
 
-@query("item_profile", f"SELECT p_partkey AS id, {PROFILE_SQL} AS bag FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)")
+@query("item_profile", f"SELECT p_partkey AS id, {PROFILE_SQL} AS bag FROM part")
 def item_profile(spark, sf):
     return profiled_items(spark, sf).select("id", "bag")
 
 
 @query(
     "content_recommend",
-    rf"""WITH {ITEMS_SQL}, p AS (SELECT b.id, score, {PROFILE_SQL} AS bag FROM b JOIN part ON p_partkey = b.id),
+    rf"""WITH {ITEMS_SQL}, p AS (SELECT p_partkey AS id, coalesce(score, 0) AS score, {PROFILE_SQL} AS bag FROM part LEFT JOIN b ON p_partkey = b.id),
         t AS (SELECT id, unnest(regexp_extract_all(bag, '[\p{{L}}\p{{N}}_]{{2,}}')) AS term FROM p),
         tf AS (SELECT id, term, count(*) AS tf FROM t GROUP BY 1, 2),
         df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1 HAVING count(*) >= 5),

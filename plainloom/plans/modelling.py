@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from plainloom.functions import arrays as A
 from plainloom.functions import text as X
 from plainloom.functions.dates import elapsed_days
-from plainloom.operators import cluster, metrics, models, series, splits
-from plainloom.operators.features import minmax_by_group
+from plainloom.operators import cluster, metrics, models, series, splits, textstats
+from plainloom.operators.features import label_encode, minmax_by_group
 from plainloom.plans.catalog import query
-from plainloom.session import spread, stage, table
+from plainloom.session import FIT_PARTS, dealt, stage, table
 
 CUTOFF = "2001-01-01 00:00:00"
 HASH_SQL = "('0x' || substr(md5({k}::VARCHAR), 1, 8))::BIGINT % 100"
@@ -76,7 +76,7 @@ def vector_split(spark, sf, binary: bool = False):
 
 
 def token_rows(spark, sf):
-    docs = spread(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+    docs = dealt(table(spark, sf, "documents").select("doc_id", "lang", "text"), "doc_id")
     return docs.select(
         "doc_id", "lang", X.word_tokens(F.col("text")).alias("tokens")
     )
@@ -176,8 +176,8 @@ def adaboost(spark, sf):
 @query("linear_svm")
 def linear_svm(spark, sf):
     rows = token_rows(spark, sf)
-    codes = F.create_map(*[F.lit(x) for kv in (("en", 0.0), ("de", 1.0), ("es", 2.0), ("fr", 3.0)) for x in kv])
-    rows = rows.withColumn("label", F.coalesce(F.try_element_at(codes, F.col("lang")), F.lit(4.0)))
+    rows = label_encode(rows.where(F.col("lang").isNotNull()), "lang", "code")
+    rows = rows.withColumn("label", F.col("code").cast("double"))
     rows = splits.hash_split(rows, "doc_id", 80)
     weights = Pipeline(
         stages=[
@@ -404,15 +404,12 @@ def hashed_tf(spark, sf):
         FROM tf JOIN df USING (term) GROUP BY 1""",
 )
 def count_vector_tfidf(spark, sf):
+    # long form: no vocabulary on the driver, hence no limit to it
     rows = token_rows(spark, sf)
-    weights = Pipeline(
-        stages=[
-            CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=1 << 18, minDF=10),
-            IDF(inputCol="tf", outputCol="tfidf"),
-        ]
-    )
-    scored = models.nonzero_vectors(models.fit(weights, rows).transform(rows), "tf")
-    return scored.select("doc_id", F.round(_total("tfidf"), 6).alias("weight"))
+    tf = textstats.term_frequencies(rows, "doc_id", F.col("tokens"))
+    n = rows.agg(F.count(F.lit(1))).scalar()
+    weights = textstats.tfidf_plain(tf, textstats.vocabulary(tf, min_df=10), n)
+    return weights.groupBy("doc_id").agg(F.round(F.sum("weight"), 6).alias("weight"))
 
 
 @query("kmeans_assign")
@@ -456,9 +453,8 @@ def lda_topics(spark, sf):
 
 def word_vectors(spark, sf):
     # Word2Vec trains one copy per partition; its default is a single task
-    parts = spark.sparkContext.defaultParallelism
     return Word2Vec(
-        vectorSize=32, minCount=5, maxIter=1, numPartitions=parts, seed=1, inputCol="tokens", outputCol="features"
+        vectorSize=32, minCount=5, maxIter=1, numPartitions=FIT_PARTS, seed=1, inputCol="tokens", outputCol="features"
     )
 
 

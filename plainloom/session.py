@@ -11,6 +11,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Partitions of tables that models are fitted on, whatever the size or the cluster.
+FIT_PARTS = 32
+
 _local_folder: str | None = None
 _removed_at_exit: set[str] = set()
 _shipped: dict[str, bool] = {}
@@ -21,11 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, small_bytes: int = 1 << 30) -> DataFrame:
-    """Deal a small table out over all cores before costly per-row work or iterative fits.
+    """Deal a small table out over all cores before costly work on single rows.
 
     A small file is often a single row group, hence one task. Tables whose files
     exceed ``small_bytes`` are left alone: their scan has tasks enough, and a
-    shuffle of the raw rows would only cost.
+    shuffle of the raw rows would only cost. Only for work whose result does not
+    depend on the partitions; see ``dealt``.
     """
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     if int(str(size)) > small_bytes:
@@ -33,6 +37,15 @@ def spread(df: DataFrame, small_bytes: int = 1 << 30) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
+def dealt(df: DataFrame, key: str, parts: int = FIT_PARTS) -> DataFrame:
+    """Deal rows by a hash of their key into ``parts`` partitions, in order of the key.
+
+    For fits that depend on the partitions (samples, models per partition): they then
+    see the same rows in the same places at every size and on every cluster.
+    """
+    return df.repartition(parts, key).sortWithinPartitions(key)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 

@@ -69,16 +69,43 @@ def infer_csv(spark: SparkSession, path: str, header: bool = True, sep: str = ",
     return spark.read.option("header", header).option("sep", sep).option("inferSchema", True).csv(path)
 
 
+def read_promoted(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, sep: str = ",", encoding: str = "UTF-8"
+) -> DataFrame:
+    """Files whose first row names their columns, each in its own order, as one table.
+
+    Every file's first row is found by its place (the first row of the block that starts
+    at byte 0), so no file is opened by the driver and files need not agree. Columns that
+    a file lacks are null, others are left out, and so are values that do not parse.
+    """
+    wanted = _schema(schema)
+    paths = path if isinstance(path, str) else list(path)
+    raw = spark.read.option("sep", sep).option("encoding", encoding).option("header", False).csv(paths)
+    cells = F.array(*[F.col(f"`{c}`") for c in raw.columns]).alias("cells")
+    where = F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("row")).alias("at")
+    # Written once: a row keeps its place whatever is read later.
+    rows = stage(raw.select(F.col("_metadata.file_path").alias("file"), where, cells))
+    heads = rows.groupBy("file").agg(F.min("at").alias("head"), F.min_by("cells", "at").alias("names"))
+    placed = rows.join(stage(heads), "file").where("at <> head")
+    values = [
+        F.get("cells", F.array_position("names", f.name).cast("int") - 1).try_cast(f.dataType).alias(f.name) for f in wanted
+    ]
+    return placed.select(*values)
+
+
 def read_snapshots(
-    spark: SparkSession, path: str, channels: Sequence[str], header: bool = False
+    spark: SparkSession, path: str, channels: Sequence[str], header: bool = False, stamp: str = "file"
 ) -> DataFrame:
     """Directory of sensor files, one per time, as one scan: (file_ts, channels...).
 
-    Files carry no header by default: reading one would drop the first sample.
+    Files carry no header by default: reading one would drop the first sample. The time
+    stands in the name of the ``file`` or of its ``folder``.
     """
     schema = T.StructType([T.StructField(c, T.DoubleType()) for c in channels])
     rows = read_tsv(spark, path, schema, header)
-    return rows.select(file_time(F.col("_metadata.file_name")).alias("file_ts"), *channels)
+    folder = F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1)
+    name = F.col("_metadata.file_name") if stamp == "file" else folder
+    return rows.select(file_time(name).alias("file_ts"), *channels)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -9,10 +9,16 @@ from pyspark.sql import DataFrame
 
 
 def write_csv(
-    df: DataFrame, path: str, header: bool = True, sep: str = ",", partition_by: Sequence[str] = (), mode: str = "errorifexists"
+    df: DataFrame,
+    path: str,
+    header: bool = True,
+    sep: str = ",",
+    partition_by: Sequence[str] = (),
+    mode: str = "errorifexists",
+    encoding: str = "UTF-8",
 ) -> None:
     """One file per task; ``partition_by`` makes folders that later reads can skip."""
-    writer = df.write.mode(mode).option("header", header).option("sep", sep)
+    writer = df.write.mode(mode).option("header", header).option("sep", sep).option("encoding", encoding)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)

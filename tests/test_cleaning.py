@@ -168,8 +168,17 @@ def test_encoders(spark):
     assert features.dummies(df, ["c"]).columns == ["c_b"]
     assert [r[0] for r in features.dummies(df, ["c"]).collect()] == [1, 0, 0]
     assert {r["c"]: r["code"] for r in features.label_encode(df, "c", "code").collect()} == {"b": 1, "a": 0, None: None}
-    with pytest.raises(ValueError):
-        features.categories(spark.range(20).select(F.col("id").cast("string").alias("c")), "c", limit=10)
+
+
+@pytest.mark.parametrize("n", [3, 1500])
+def test_dummy_positions_for_few_and_many_categories(spark, n):
+    df = spark.range(n).select("id", F.format_string("c%05d", "id").alias("c"), F.when(F.col("id") > 0, "x").alias("d"))
+    rows = {r["id"]: r for r in features.dummy_positions(df, ["c", "d"], drop_first=False).collect()}
+    assert len(rows) == n and {r["width"] for r in rows.values()} == {n + 1}
+    assert all(r["positions"] == ([i, n] if i else [0]) for i, r in rows.items())
+    dropped = {r["id"]: r["positions"] for r in features.dummy_positions(df, ["c", "d"]).collect()}
+    assert dropped[0] == [] and dropped[2] == [1]
+    assert len(features.dummies(df.limit(2), ["c"], drop_first=False).columns) == 4
 
 
 def test_signal_small_groups(spark):

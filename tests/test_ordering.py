@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from plainloom import session
 from plainloom.operators import ordering, profile, quantiles, series, splits
 
 
@@ -19,8 +20,14 @@ def skewed(spark):
     return spark.range(10_000).select("id", key.alias("k"), value.alias("v")).repartition(7, "id").cache()
 
 
+@pytest.fixture(params=[1_000_000, 700, 7])
+def pieces(request, monkeypatch):
+    """One piece, some, and more than there are rows in a group."""
+    monkeypatch.setattr(ordering, "PIECE_ROWS", request.param)
+
+
 @pytest.mark.parametrize("by", [["k"], []])
-def test_number_rows(skewed, by):
+def test_number_rows(skewed, by, pieces):
     got = ordering.number_rows(skewed, by, ["v", "id"], total="n")
     w = Window.partitionBy(*by).orderBy("v", "id")
     want = skewed.withColumn("position", F.row_number().over(w).cast("long")).withColumn(
@@ -30,21 +37,29 @@ def test_number_rows(skewed, by):
     assert got.count() == 10_000
 
 
-def test_number_rows_descending(skewed):
-    got = ordering.number_rows(skewed, ["k"], [F.col("v").desc(), "id"])
+def test_number_rows_descending(skewed, pieces):
+    got = ordering.number_rows(skewed, ["k"], [-F.col("v"), "id"])
     w = Window.partitionBy("k").orderBy(F.col("v").desc(), "id")
     want = skewed.withColumn("position", F.row_number().over(w).cast("long"))
     assert got.select("id", "position").exceptAll(want.select("id", "position")).count() == 0
 
 
-def test_ranged_number_rows_has_no_single_task_window(skewed):
+def test_pieces_are_even_ranges_and_rows_are_not_staged(skewed, monkeypatch):
+    placed, wanted = ordering.with_pieces(skewed, [], ["v", "id"], "piece", 500)
+    sizes = placed.groupBy("piece").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    sizes = sizes.orderBy("piece").collect()
+    assert wanted == 20 and len(sizes) >= 15 and max(r["n"] for r in sizes) < 1_500
+    assert all(a["hi"] <= b["lo"] for a, b in zip(sizes, sizes[1:]))
+    staged = []
+    monkeypatch.setattr(ordering, "PIECE_ROWS", 500)
+    monkeypatch.setattr(ordering, "stage", lambda df: staged.append(df.count()) or session.stage(df))
     out = ordering.number_rows(skewed, [], ["v", "id"])
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    data_windows = [line for line in plan.splitlines() if "Window" in line and "row_number" in line]
-    assert not data_windows
+    assert max(staged) <= 25 and out.count() == 10_000
+    plan = out._jdf.queryExecution().toString()
+    assert all("_piece" in line for line in plan.splitlines() if "row_number" in line and "windowspec" in line)
 
 
-def test_running_total(skewed):
+def test_running_total(skewed, pieces):
     counts = skewed.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
     got = ordering.running_total(counts, ["k"], ["v"], "n")
     w = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
@@ -53,7 +68,7 @@ def test_running_total(skewed):
     assert got.select(cols).exceptAll(want.select(cols)).count() == 0
 
 
-def test_positional_slice_and_tail(spark):
+def test_positional_slice_and_tail(spark, pieces):
     df = spark.range(100)
     assert sorted(r[0] for r in ordering.positional_slice(df, ["id"], 10, 13).collect()) == [10, 11, 12]
     assert sorted(r[0] for r in ordering.positional_slice(df, ["id"], 97).collect()) == [97, 98, 99]
@@ -66,9 +81,13 @@ def test_shuffle_rows_is_repeatable(spark):
     assert a == b and sorted(a) == list(range(50)) and a != list(range(50))
 
 
-def test_quantiles_of_groups(skewed):
+@pytest.mark.parametrize("leaf, bins", [(4_096, 4_096), (50, 16), (2, 3)])
+def test_quantiles_of_groups(skewed, monkeypatch, leaf, bins):
     import numpy as np
 
+    monkeypatch.setattr(quantiles, "LEAF", leaf)
+    monkeypatch.setattr(quantiles, "BINS", bins)
+
     probs = [0.0, 0.1, 0.5, 0.97, 1.0]
     rows = skewed.where("k is not null")
     got = {(r["k"], r["column"]): r["q"] for r in quantiles.quantiles(rows, ["v", "id"], probs, ["k"]).collect()}
@@ -94,18 +113,19 @@ def test_mode_takes_smallest_on_ties(spark):
     assert {r["g"]: r["mode"] for r in quantiles.modes(df, "v", ["g"]).collect()} == {"a": "x"}
 
 
-def test_lookback_beyond_the_chunk_gives_the_same_rows(spark):
+def test_lookback_beyond_the_piece_gives_the_same_rows(spark):
     df = spark.range(30).select(F.lit("a").alias("k"), F.col("id").alias("t"), F.col("id").cast("double").alias("v"))
-    few = series.lookback_windows(df, ["k"], ["t"], "v", 12, chunk_rows=10)
-    many = series.lookback_windows(df, ["k"], ["t"], "v", 12, chunk_rows=100)
+    few = series.lookback_windows(df, ["k"], ["t"], "v", 12, piece_rows=10)
+    many = series.lookback_windows(df, ["k"], ["t"], "v", 12, piece_rows=100)
     assert few.count() == many.count() == 18
     assert few.select("t", "features").exceptAll(many.select("t", "features")).count() == 0
 
 
+@pytest.mark.parametrize("piece_rows", [50, 2])
 @pytest.mark.parametrize("by", [["k"], []])
-def test_chunked_lookback_windows(skewed, by):
+def test_lookback_windows_carry_edges(skewed, by, piece_rows):
     present = skewed.where("k is not null")
-    got = series.lookback_windows(present, by, ["v", "id"], "v", 3, chunk_rows=50)
+    got = series.lookback_windows(present, by, ["v", "id"], "v", 3, piece_rows=piece_rows)
     w = Window.partitionBy(*by).orderBy("v", "id").rowsBetween(-3, -1)
     want = present.withColumn("features", F.collect_list("v").over(w)).where(F.size("features") == 3)
     assert got.select("id", "features").exceptAll(want.select("id", "features")).count() == 0
@@ -138,3 +158,22 @@ def test_box_stats_by_hand(spark):
     (r,) = profile.box_stats(df, "x", ["g"]).collect()
     assert (r["q25"], r["median"], r["q75"]) == (2.0, 3.0, 4.0)
     assert (r["whisker_low"], r["whisker_high"], r["n_outliers"]) == (1.0, 4.0, 1)
+
+
+def test_quantiles_of_odd_values(spark, monkeypatch):
+    inf, nan = float("inf"), float("nan")
+    values = [inf, -inf, nan, None, 5e-324, 0.0, -0.0, 1e308, -1e308, 7.0, 7.0, 7.0, 1e-9, 2.0, -3.5]
+    df = spark.createDataFrame([(1, v, None) for v in values] + [(2, None, None)], "g int, v double, w double")
+    known = sorted(v for v in values if v is not None and v == v)
+    probs = [0.0, 1 / 6, 0.5, 5 / 6, 1.0]
+    for leaf in (100, 1):
+        monkeypatch.setattr(quantiles, "LEAF", leaf)
+        (row,) = quantiles.quantiles(df, ["v", "w"], probs, ["g"]).collect()
+        assert (row["g"], row["column"]) == (1, "v") and row["q"] == [known[round(p * 12)] for p in probs]
+    assert quantiles.quantiles(df.where("false"), ["v"], [0.5]).collect() == []
+
+
+def test_box_stats_leave_nan_out(spark):
+    df = spark.createDataFrame([("a", x) for x in [1.0, 2.0, 3.0, float("nan"), None]], "g string, x double")
+    (r,) = profile.box_stats(df, "x", ["g"]).collect()
+    assert (r["median"], r["n_outliers"]) == (2.0, 0)

@@ -120,3 +120,12 @@ def test_model_save_and_load(spark, tmp_path):
     loaded = writers.load_model(str(tmp_path / "m"))
     a, b = ([r[0] for r in m.transform(df).select("prediction").collect()] for m in (model, loaded))
     assert a == b == [0.0, 0.0, 1.0, 1.0]
+
+
+def test_promoted_headers_in_any_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,name,rate\n1,"x, y",0.5\n2,,bad\n')
+    (tmp_path / "b.csv").write_text("rate,id,more\n1.5,3,z\nrate,id,more\n")
+    (tmp_path / "c.csv").write_text("id,name,rate\n")
+    rows = readers.read_promoted(spark, str(tmp_path), "id int, name string, rate double").collect()
+    key = lambda r: (r[0] is None, r[0])
+    assert sorted(map(tuple, rows), key=key) == [(1, "x, y", 0.5), (2, None, None), (3, None, 1.5), (None, None, None)]
