@@ -8,7 +8,9 @@ place is left at most once. Two tokens may stand side by side if the merges, app
 in their order, never join symbols across their border. An encoding in which all
 neighbours may stand so is the one that the merges give.
 
-Nulls count as empty texts; an empty text has no tokens. Texts are encoded whole.
+Nulls count as empty texts; an empty text has no tokens. Texts are encoded whole, in
+time proportional to their length, with or without white space. Repeated rows are encoded
+each, an empty table gives no rows, and other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -143,10 +145,10 @@ class Merges:
         """A stretch of text without white space: normal form, split into words, their tokens."""
         # Letter by letter: a final capital sigma is lowered like any other one.
         lowered = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        words, ids = self.words, ()
+        words, ids = self.words, []
         for word in self.split.findall(lowered):
-            ids += words[word]
-        return ids
+            ids.extend(words[word])
+        return tuple(ids)
 
     def encode(self, text: str) -> np.ndarray:
         """No word, normal form or token reaches over white space, so chunks are encoded one by one."""

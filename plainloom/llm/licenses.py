@@ -6,13 +6,22 @@ notices in one pass; only around a part found is the regex library's bounded-err
 match tried, and it reports the span and the edits.
 
 Texts are searched as their words with one space between, so punctuation and line
-breaks do not matter. Nulls count as empty texts, which have no words, no labels and
-score 0. Repeated rows are searched each.
+breaks do not matter; spans are places in the text itself, in code points. From left to
+right, the first stretch within the edits allowed is taken, then the best match inside
+it, and the search goes on after that; so a notice is not lost to a better one further
+on. Of matches of different notices that overlap, the one with fewest edits stands, then
+the longest, then the leftmost, then the first notice. Time grows with the length of the
+text and the number of matches, never with their product.
+
+Nulls count as empty texts, which have no words, no labels and score 0. Repeated rows
+are searched each, an empty table gives no rows, and other columns are not read, whatever
+their names.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import cache
 
@@ -40,6 +49,17 @@ NOTICES = {
     "licensed under cc by 4 0": "cc-by",
     "creative commons attribution": "cc-by",
     "all rights reserved": "reserved",
+    "licensed under cc by nc sa 4 0": "cc-by-nc-sa",
+    "licensed under cc by nd 4 0": "cc-by-nd",
+    "creative commons zero v1 0 universal": "cc0",
+    "this is free and unencumbered software released into the public domain": "unlicense",
+    "permission to use copy modify and or distribute this software for any purpose": "isc",
+    "redistributions of source code must retain the above copyright notice": "bsd",
+    "use of this source code is governed by a bsd style license": "bsd",
+    "distributed under the boost software license version 1 0": "boost",
+    "eclipse public license version 2 0": "epl",
+    "european union public licence version 1 2": "eupl",
+    "licensed under the terms of the mit license": "mit",
 }
 #: One edit is allowed for so many characters of a notice.
 CHARS_PER_EDIT = 10
@@ -63,7 +83,8 @@ def _searcher():
     at: dict[str, list[tuple[int, int]]] = {}
     for n, notice in enumerate(NOTICES):
         k = edits_allowed(notice)
-        patterns.append((regex.compile(f"(?b)(?:{regex.escape(notice)}){{e<={k}}}"), k, len(notice)))
+        within = f"(?:{regex.escape(notice)}){{e<={k}}}"
+        patterns.append((regex.compile(within), regex.compile(f"(?b){within}"), k, len(notice)))
         for place, part in seeds(notice, k):
             at.setdefault(part, []).append((n, place))
     for part, homes in at.items():
@@ -83,7 +104,7 @@ def fuzzy_notices(words: str) -> list[tuple[int, int, str, int]]:
     windows: dict[int, list[list[int]]] = {}
     for last, (length, homes) in automaton.iter(words):
         for n, place in homes:
-            _, k, size = patterns[n]
+            *_, k, size = patterns[n]
             start = last + 1 - length - place - k
             windows.setdefault(n, []).append([max(0, start), start + size + 2 * k])
     found = []
@@ -95,16 +116,31 @@ def fuzzy_notices(words: str) -> list[tuple[int, int, str, int]]:
                 merged[-1][1] = max(merged[-1][1], b)
             else:
                 merged.append([a, b])
-        pattern, notice = patterns[n][0], list(NOTICES)[n]
+        any_, best, *_ = patterns[n]
         for a, b in merged:
-            for m in pattern.finditer(words, a, min(b, len(words))):
-                found.append((m.start(), m.end(), notice, sum(m.fuzzy_counts)))
-    # Of matches that overlap, the one with fewest edits stands, then the longest.
-    kept: list[tuple[int, int, str, int]] = []
-    for match in sorted(found, key=lambda m: (m[3], m[0] - m[1], m[0])):
-        if all(match[1] <= a or b <= match[0] for a, b, _, _ in kept):
-            kept.append(match)
-    return sorted(kept)
+            at, stop = a, min(b, len(words))
+            while rough := any_.search(words, at, stop):
+                m = best.search(words, rough.start(), rough.end())
+                found.append((m.start(), m.end(), n, sum(m.fuzzy_counts)))
+                at = m.end()
+    names, starts, kept = list(NOTICES), [], []  # kept ones do not overlap, so their starts and ends have one order
+    for a, b, n, edits in sorted(found, key=lambda m: (m[3], m[0] - m[1], m[0], m[2])):
+        place = bisect_left(starts, a)
+        if (place == 0 or kept[place - 1][1] <= a) and (place == len(kept) or b <= kept[place][0]):
+            starts.insert(place, a)
+            kept.insert(place, (a, b, names[n], edits))
+    return kept
+
+
+def places_in(text: str, spans: list[tuple[int, int, str, int]]) -> list[tuple[int, int, str, int]]:
+    """Spans of a normal form as spans of the text."""
+    own, normal, at = [], [], 0
+    for word in _WORDS.finditer(text.translate(_LOWER)):
+        own.append(word.start())
+        normal.append(at)
+        at += word.end() - word.start() + 1
+    place = lambda x: own[(w := bisect_right(normal, x) - 1)] + x - normal[w]
+    return [(place(a), place(b - 1) + 1, notice, edits) for a, b, notice, edits in spans]
 
 
 def scan_text(text: str) -> tuple:
@@ -113,12 +149,14 @@ def scan_text(text: str) -> tuple:
     padded = f" {words} "
     starts, base = [], set()
     for phrase, label in PHRASES.items():
-        at = padded.find(f" {phrase} ")
+        at, before, n = padded.find(f" {phrase} "), 0, 0
         while at >= 0:
-            starts.append(padded.count(" ", 0, at))
+            n += padded.count(" ", before, at)
+            starts.append(n)
             base.add(label)
-            at = padded.find(f" {phrase} ", at + 1)
+            before, at = at, padded.find(f" {phrase} ", at + 1)
     fuzzy = fuzzy_notices(words)
+    fuzzy = places_in(text, fuzzy) if fuzzy else fuzzy
     near = max((1 - edits / len(notice) for _, _, notice, edits in fuzzy), default=0.0)
     labels = base | {NOTICES[notice] for _, _, notice, _ in fuzzy}
     spans = [{"start": a, "end": b, "notice": notice, "edits": edits} for a, b, notice, edits in fuzzy]
@@ -142,7 +180,7 @@ _TYPES = {
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id and what ``scan_text`` finds; spans are places in the text's normal form."""
+    """doc_id and what ``scan_text`` finds; spans are places in the text, code points, end exclusive."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in each_text(batches, "whole_text"):
