@@ -7,12 +7,13 @@ twice; what is left is encoded. All stages but the last return the columns of do
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from plainloom.llm import bpe, mixing, quality, secrets, simhash
 from plainloom.session import ship, stage, table
 
-VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
