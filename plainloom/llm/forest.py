@@ -14,7 +14,8 @@ best of all blocks are merged. Scores are computed on the original vectors.
 
 Vectors that are null, zero or of another length than most, or that hold a null or a
 component that is no finite number, take no part; nor do null ids. Rows that repeat
-an id and its vector are one. Ties go to the smaller id.
+an id and its vector are one. Ties go to the smaller id. An empty table gives no rows;
+other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ rows whose features, not texts, meet in one task.
 
 Nulls count as empty texts; an empty text has score 0. Without grades, or with one
 grade only, every text is kept. A document with several grades has the lowest; a null
-grade is none. Repeated rows are rated each.
+grade is none. Repeated rows are rated each. An empty table gives no rows;
+other columns are kept or not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -91,23 +92,28 @@ def tails(score: Column, model: Model) -> list[Column]:
     return [F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(float(t)) - score)) for t in model.thresholds]
 
 
-def fit_thresholds(rows: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray, rounds: int = 200) -> Model:
-    """Maximum likelihood with a small ridge penalty, by adaptive gradient steps on sparse rows."""
-    levels = int(grades.max()) + 1
-    idx, val = np.concatenate(rows), np.concatenate(values)
-    sizes = np.array([len(r) for r in rows])
-    starts = np.cumsum(sizes) - sizes
-    share = np.array([(grades > k).mean() for k in range(levels - 1)])
-    first = -np.log(share / (1 - share))
-    first = np.maximum.accumulate(first + np.arange(levels - 1) * 1e-3)
-    # Parameters: weights, the first threshold, logarithms of the steps to the next ones.
-    steps = np.log(np.maximum(np.diff(first), 1e-3))
-    param = np.concatenate([np.zeros(BUCKETS), first[:1], steps])
-    m, v = np.zeros_like(param), np.zeros_like(param)
-    for t in range(1, rounds + 1):
+#: Weight of the ridge penalty, half of which times the squared weights is added to the loss.
+RIDGE = 1e-6
+
+
+class Likelihood:
+    """Mean negative log likelihood of graded sparse rows, with the ridge penalty.
+
+    Parameters are the weights, the first threshold, and the logarithms of the steps to the next ones.
+    """
+
+    def __init__(self, rows: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray):
+        self.grades, self.levels = grades, int(grades.max()) + 1
+        self.idx, self.val = np.concatenate(rows), np.concatenate(values)
+        self.sizes = np.array([len(r) for r in rows])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def at(self, param: np.ndarray) -> tuple[float, np.ndarray]:
+        """The loss and its gradient."""
+        idx, val, sizes, grades, levels = self.idx, self.val, self.sizes, self.grades, self.levels
         w, steps = param[:BUCKETS], np.exp(param[BUCKETS + 1 :])
         cuts = param[BUCKETS] + np.concatenate([[0.0], np.cumsum(steps)])
-        s = np.where(sizes > 0, np.add.reduceat(np.append(w[idx] * val, 0.0), np.minimum(starts, len(idx))), 0.0)
+        s = np.where(sizes > 0, np.add.reduceat(np.append(w[idx] * val, 0.0), np.minimum(self.starts, len(idx))), 0.0)
         upper = np.where(grades < levels - 1, 1 / (1 + np.exp(s - cuts[np.minimum(grades, levels - 2)])), 1.0)
         lower = np.where(grades > 0, 1 / (1 + np.exp(s - cuts[np.maximum(grades - 1, 0)])), 0.0)
         p = np.maximum(upper - lower, 1e-9)
@@ -117,13 +123,22 @@ def fit_thresholds(rows: list[np.ndarray], values: list[np.ndarray], grades: np.
         np.add.at(d_cut, np.minimum(grades, levels - 2), np.where(grades < levels - 1, -up, 0.0) / len(grades))
         np.add.at(d_cut, np.maximum(grades - 1, 0), np.where(grades > 0, low, 0.0) / len(grades))
         after = np.cumsum(d_cut[::-1])[::-1]
-        grad = np.concatenate(
-            [
-                np.bincount(idx, weights=val * np.repeat(d_score, sizes), minlength=BUCKETS) + 1e-6 * w,
-                after[:1],
-                after[1:] * steps,
-            ]
-        )
+        by_weight = np.bincount(idx, weights=val * np.repeat(d_score, sizes), minlength=BUCKETS) + RIDGE * w
+        return float(-np.log(p).mean() + RIDGE / 2 * (w**2).sum()), np.concatenate([by_weight, after[:1], after[1:] * steps])
+
+
+def fit_thresholds(rows: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray, rounds: int = 200) -> Model:
+    """Maximum likelihood with a small ridge penalty, by adaptive gradient steps on sparse rows."""
+    likelihood = Likelihood(rows, values, grades)
+    levels = likelihood.levels
+    share = np.array([(grades > k).mean() for k in range(levels - 1)])
+    first = -np.log(share / (1 - share))
+    first = np.maximum.accumulate(first + np.arange(levels - 1) * 1e-3)
+    steps = np.log(np.maximum(np.diff(first), 1e-3))
+    param = np.concatenate([np.zeros(BUCKETS), first[:1], steps])
+    m, v = np.zeros_like(param), np.zeros_like(param)
+    for t in range(1, rounds + 1):
+        _, grad = likelihood.at(param)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         param = param - 0.3 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
     steps = np.exp(param[BUCKETS + 1 :])

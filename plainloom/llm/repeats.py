@@ -18,7 +18,8 @@ where equal ones must meet:
    their block are matched between blocks by hash.
 
 Nulls count as empty texts. Texts shorter than LENGTH bytes lose nothing. Rows that
-repeat a text are texts of their own, so each copy of a long one goes whole.
+repeat a text are texts of their own, so each copy of a long one goes whole. An empty
+table gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

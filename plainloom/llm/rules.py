@@ -8,7 +8,8 @@ next one is learned. The list becomes one ordered CASE expression.
 
 Nulls count as empty texts; an empty text has all statistics 0 and fails the base
 rules. Without labels, or with labels of one kind, the list is empty and keeps what
-the base rules keep. Repeated rows are judged each.
+the base rules keep. Repeated rows are judged each. An empty table gives no rows;
+other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ number. Components are found by star contraction, which keeps a forest of links.
 
 Nulls count as empty texts; these have fingerprint zero and are linked like others. A
 component is named by its smallest doc_id, null ones aside (null if it has no other).
-Repeated rows share their component.
+Repeated rows share their component. An empty table gives no rows; other columns
+are kept or not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ fold are never read for either.
 Nulls count as empty texts; an empty text has all features 0 and the score that the
 model gives to those. Without labels of both kinds every score is the share of toxic
 labels (0 without any). A document with several labels is toxic if one says so; a
-null label is none. A null doc_id is held out. Repeated rows are scored each.
+null label is none. A null doc_id is held out. Repeated rows are scored each. An empty table gives no rows;
+other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
