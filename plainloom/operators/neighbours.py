@@ -1,16 +1,20 @@
 """Exact k nearest neighbours without forming all pairs.
 
-Training rows are assigned to the nearest of a fixed number of pivots. With the
-per-pivot distance range and its k smallest distances (a table of fixed size)
-every query row gets an upper bound of its k-th distance, and visits only the
-cells that can hold a closer row (triangle inequality, so nothing is lost).
-Cells are cut into blocks and the queries of a cell into chunks by hash, so a
-cell with a third of the rows is spread over many tasks; every (block, chunk)
-returns k rows per query, computed with numpy.
+Training rows belong to the nearest of about sqrt(n) centres, fitted on a sample of
+bounded size. A query visits its nearest cells first, in rounds of growing size; the
+distance of its k-th neighbour so far is carried from round to round, and a cell falls
+out once its least possible distance (triangle inequality with the cell's own range of
+distances) is beyond that, so nothing is lost. Cells are cut into blocks and the queries
+of a cell into chunks by hash, so a cell with a third of the rows is spread over many
+tasks; every (block, chunk) returns k rows per query, computed with numpy.
+
+How many cells fall out depends on the data. In many dimensions without clusters all
+distances are alike, no bound excludes a cell, and any exact search stays quadratic.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +25,8 @@ from pyspark.sql import functions as F
 from plainloom.operators.textstats import top_per_group
 from plainloom.session import stage
 
+#: The most centres; rows that are sampled for each; how many times more cells each round visits.
+MOST_CENTRES, SAMPLE_EACH, GROWTH = 4_096, 8, 4
 _SLACK = 1e-9  # keeps rounding from cutting off a cell that ties with the bound
 
 
@@ -37,29 +43,47 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
 
 
+def _fitted_centres(train: DataFrame, key: str, vector: str, wanted: int, steps: int) -> np.ndarray:
+    """Means of the nearest rows, started from and fitted on a sample of ``SAMPLE_EACH`` rows a centre, by hash of the key."""
+    order = (F.md5(F.col(key).cast("string")), key)
+    rows = train.orderBy(*order).limit(wanted * SAMPLE_EACH).select(vector).collect()
+    if not rows:
+        raise ValueError("no training rows")
+    sample = np.array([r[0] for r in rows], dtype=np.float64)
+    centres = sample[:wanted].copy()
+    for _ in range(steps):
+        nearest = _distances(sample, centres).argmin(axis=1)
+        counts = np.bincount(nearest, minlength=len(centres))
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest, sample)
+        centres = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centres)
+    return np.unique(centres, axis=0)
+
+
 def nearest_neighbours(
     queries: DataFrame,
     train: DataFrame,
     key: str,
     vector: str,
     k: int = 5,
-    n_pivots: int = 32,
+    n_centres: int | None = None,
     block_rows: int = 20_000,
     chunk_rows: int = 2_000,
+    visited: list[int] | None = None,
 ) -> DataFrame:
     """(query, neighbour, distance): the k closest training rows of every query row, ties by key.
 
-    ``key`` must be a bigint in both tables.
+    ``key`` must be a bigint in both tables. ``visited`` collects how many (query, cell)
+    visits each round had.
     """
-    pivot_rows = train.orderBy(F.md5(F.col(key).cast("string")), key).limit(n_pivots).select(vector).collect()
-    if not pivot_rows:
-        raise ValueError("no training rows")
-    pivots = np.array([r[0] for r in pivot_rows], dtype=np.float64)
+    rows = train.count()
+    wanted = n_centres or min(MOST_CENTRES, max(1, math.isqrt(rows)))
+    centres = _fitted_centres(train, key, vector, wanted, steps=5)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                d = _distances(_matrix(pdf["vec"]), pivots)
+                d = _distances(_matrix(pdf["vec"]), centres)
                 yield pdf.assign(cell=d.argmin(axis=1), dist=d.min(axis=1))
 
     train_rows = train.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vec"))
@@ -67,41 +91,38 @@ def nearest_neighbours(
     spans = assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("dist").alias("lo"), F.max("dist").alias("hi"))
     closest = top_per_group(assigned.select("cell", "dist", "id"), ["cell"], ["dist", "id"], k)
     near = closest.groupBy("cell").agg(F.array_sort(F.collect_list("dist")).alias("near"))
-    cells = {r["cell"]: r for r in spans.join(near, "cell").collect()}  # at most n_pivots rows
+    cells = {r["cell"]: r for r in spans.join(near, "cell").collect()}  # a row per centre
     order = sorted(cells)
+    held = centres[order]
     low = np.array([cells[c]["lo"] for c in order])
     high = np.array([cells[c]["hi"] for c in order])
     owner = np.concatenate([[i] * len(cells[c]["near"]) for i, c in enumerate(order)]).astype(int)
     offset = np.concatenate([cells[c]["near"] for c in order])
-    wanted = min(k, len(offset))
-
-    def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            d = _distances(_matrix(pdf["vec"]), pivots)[:, order]
-            upper = np.partition(d[:, owner] + offset, wanted - 1, axis=1)[:, wanted - 1] + _SLACK
-            hit = (d - high <= upper[:, None]) & (low - d <= upper[:, None])
-            row, col = np.nonzero(hit)
-            yield pd.DataFrame({"query": pdf["id"].values[row], "qvec": pdf["vec"].values[row], "cell": np.array(order)[col]})
-
-    query_rows = queries.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vec"))
-    visits = stage(query_rows.mapInPandas(candidates, "query long, qvec array<double>, cell int"))
-    visit_counts = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}
+    enough = min(k, len(offset))
+
+    def visits_of(first: int, stop: int):
+        """The cells that stand at places ``first`` to ``stop`` of a query's order and may hold a nearer row."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for at in range(0, len(pdf), 1_024):
+                    some = pdf.iloc[at : at + 1_024]
+                    d = _distances(_matrix(some["vec"]), held)
+                    # No more than k rows are as far as their cell's centre and their own distance to it.
+                    bound = np.partition(d[:, owner] + offset, enough - 1, axis=1)[:, enough - 1]
+                    bound = np.fmin(bound, some["kth"].to_numpy(dtype=float)) + _SLACK
+                    least = np.maximum(np.maximum(d - high, low - d), 0.0)
+                    ranked = np.lexsort((d, least), axis=1)[:, first:stop]
+                    row, place = np.nonzero(np.take_along_axis(least, ranked, axis=1) <= bound[:, None])
+                    cell = np.array(order)[ranked[row, place]]
+                    yield pd.DataFrame({"query": some["id"].values[row], "qvec": some["vec"].values[row], "cell": cell})
+
+        return run
 
     def per_cell(counts: dict, size: int):
         pairs = [F.lit(x) for c in order for x in (c, -(-counts.get(c, 0) // size) or 1)]
         return F.element_at(F.create_map(*pairs), F.col("cell"))
 
-    blocks = per_cell({c: cells[c]["n"] for c in order}, block_rows)
-    chunks = per_cell(visit_counts, chunk_rows)
-    left = visits.withColumns(
-        {"chunk": F.pmod(F.xxhash64("query"), chunks).cast("int"), "block": F.explode(F.sequence(F.lit(0), blocks - 1))}
-    )
-    right = assigned.withColumns(
-        {"block": F.pmod(F.xxhash64("id"), blocks).cast("int"), "chunk": F.explode(F.sequence(F.lit(0), chunks - 1))}
-    )
-
     def best(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         if q.empty or t.empty:
             return pd.DataFrame({"query": [], "neighbour": [], "distance": []})
@@ -123,11 +144,39 @@ def nearest_neighbours(
             )
         return pd.concat(parts)
 
-    by = ["cell", "block", "chunk"]
-    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
-        best, "query long, neighbour long, distance double"
-    )
-    return top_per_group(found, ["query"], ["distance", "neighbour"], k)
+    query_rows = queries.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vec"))
+    blocks = per_cell({c: cells[c]["n"] for c in order}, block_rows)
+    found, first, size = None, 0, 1
+    while first < len(order):
+        # The k-th distance so far; none before a query has k neighbours.
+        if found is None:
+            asking = query_rows.withColumn("kth", F.lit(None).cast("double"))
+        else:
+            kth = found.groupBy("query").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("kth"))
+            asking = query_rows.join(kth.withColumnRenamed("query", "id"), "id", "left")
+        visits = stage(asking.mapInPandas(visits_of(first, first + size), "query long, qvec array<double>, cell int"))
+        counts = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}
+        if visited is not None:
+            visited.append(sum(counts.values()))
+        # Cells stand by their least distance: if no query visits one here, none will later.
+        if not counts:
+            break
+        chunks = per_cell(counts, chunk_rows)
+        left = visits.withColumns(
+            {"chunk": F.pmod(F.xxhash64("query"), chunks).cast("int"), "block": F.explode(F.sequence(F.lit(0), blocks - 1))}
+        )
+        right = assigned.where(F.col("cell").isin(list(counts))).withColumns(
+            {"block": F.pmod(F.xxhash64("id"), blocks).cast("int"), "chunk": F.explode(F.sequence(F.lit(0), chunks - 1))}
+        )
+        by = ["cell", "block", "chunk"]
+        more = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
+            best, "query long, neighbour long, distance double"
+        )
+        found = top_per_group(more if found is None else found.unionByName(more), ["query"], ["distance", "neighbour"], k)
+        first, size = first + size, size * GROWTH
+        if first < len(order):
+            found = stage(found)
+    return found
 
 
 def knn_vote(

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plainloom.operators.ordering import lookup
-from plainloom.operators.quantiles import melt, number, quantiles
+from plainloom.operators.quantiles import number, quantiles
 
 
 def _unstack(row: DataFrame, columns: Sequence[str], fields: dict[str, str]) -> DataFrame:
@@ -82,20 +83,77 @@ def column_roles(df: DataFrame, threshold: int = 20, approximate: bool = False)
     return distinct_counts(df, columns, approximate).withColumn("role", role)
 
 
+def correlation(a: str, b: str) -> Column:
+    """Pearson correlation over the rows that have both numbers; null if one of them does not vary."""
+    x, y = number(a), number(b)
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
+#: Tasks that add up the partial matrices before the last one does.
+ADDING_TASKS = 32
+
+
+def gram(df: DataFrame, columns: Sequence[str]) -> dict[str, np.ndarray]:
+    """Sums over the rows that have numbers in both columns i and j: ``n`` rows, ``s`` of i, ``q`` of i squared, ``p`` of i times j.
+
+    Columns are taken less their mean. Every task makes one matrix of each kind, and
+    ``ADDING_TASKS`` tasks add these before a last one does; the results, of the square of the
+    number of columns, come to the driver.
+    """
+    numbers = [number(c) for c in columns]
+    means = df.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(numbers)]).first()
+    centred = df.select(*[(x - F.lit(m or 0.0)).alias(f"x{i}") for i, (x, m) in enumerate(zip(numbers, means))])
+    size = len(columns)
+
+    def emitted(kinds: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(range(4), pa.int32()), pa.array([k.ravel() for k in kinds], pa.list_(pa.float64()))], names=["kind", "sums"]
+        )
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = np.zeros((4, size, size))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            known = ~np.isnan(x)
+            x, mask = np.where(known, x, 0.0), known.astype(float)
+            kinds += np.stack([mask.T @ mask, x.T @ mask, (x * x).T @ mask, x.T @ x])
+        yield emitted(kinds)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = np.zeros((4, size * size))
+        for batch in batches:
+            for kind, sums in zip(batch.column("kind").to_pylist(), batch.column("sums")):
+                kinds[kind] += sums.values.to_numpy()
+        yield emitted(kinds)
+
+    shape = "kind int, sums array<double>"
+    parts = centred.mapInArrow(partial, shape).repartition(ADDING_TASKS).mapInArrow(added, shape)
+    rows = parts.repartition(1).mapInArrow(added, shape).collect()
+    return {name: np.array(r["sums"]).reshape(size, size) for name, r in zip("nsqp", sorted(rows, key=lambda r: r["kind"]))}
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every ordered pair; one pass over the table."""
-    pairs = list(combinations(columns, 2))
-    row = df.agg(*[F.corr(a, b).alias(f"r_{i}") for i, (a, b) in enumerate(pairs)])
-    entries = [(c, c, F.lit(1.0)) for c in columns]
-    for i, (a, b) in enumerate(pairs):
-        entries += [(a, b, F.col(f"r_{i}")), (b, a, F.col(f"r_{i}"))]
-    structs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("corr")) for a, b, r in entries]
-    return row.select(F.explode(F.array(*structs)).alias("_s")).select("_s.*")
+    """Pearson correlation of every ordered pair, over the rows that have both numbers, for any number of columns.
+
+    Null, the diagonal too, where a column does not vary.
+    """
+    columns = list(columns)
+    sums = gram(df, columns)
+    n, s, q, p = (sums[k] for k in "nsqp")
+    spread = n * q - s * s
+    # What is left of a constant by rounding is no variance.
+    spread = np.where(spread > 1e-12 * n * q, spread, 0.0)
+    below = np.sqrt(spread * spread.T)
+    r = np.divide(n * p - s * s.T, below, out=np.full_like(p, np.nan), where=below > 0)
+    np.fill_diagonal(r, np.where(np.isnan(np.diag(r)), np.nan, 1.0))
+    rows = [(a, b, None if np.isnan(x) else float(x)) for a, line in zip(columns, r) for b, x in zip(columns, line)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
 
 
 def correlation_with_target(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
-    """Correlation with one target, sorted falling; ``abs_corr`` is taken after the sort."""
-    row = df.agg(*[F.corr(c, target).alias(f"r_{i}") for i, c in enumerate(columns)])
+    """Correlation with one target, sorted falling; ``abs_corr`` is taken after the sort. Null for a constant."""
+    row = df.agg(*[correlation(c, target).alias(f"r_{i}") for i, c in enumerate(columns)])
     out = _unstack(row, columns, {"corr": "r"})
     return out.withColumn("abs_corr", F.abs("corr")).orderBy(F.col("corr").desc(), "column")
 
@@ -175,21 +233,45 @@ def outlier_cut(df: DataFrame, columns: Sequence[str], prob: float = 0.97) -> Da
 def column_profile(
     df: DataFrame, columns: Sequence[str], target: str, bins: int = 10, approximate: bool = False
 ) -> DataFrame:
-    """One row per numeric column: nulls, distinct values, moments, quartiles, modal bin, target correlation."""
-    nulls = null_profile(df, columns).where(F.col("column") != "(all)")
-    described = describe(df, columns, approximate)
-    long = melt(df, columns).where(F.col("value").isNotNull())
-    counted = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
-    binned = counted.join(described.select("column", "min", "max"), "column").groupBy(
-        "column", bin_index(F.col("value"), F.col("min"), F.col("max"), bins).alias("bin")
-    ).agg(F.sum("_n").alias("_n"))
-    modal = binned.groupBy("column").agg(
-        F.min(F.struct((-F.col("_n")).alias("r"), F.col("bin").alias("bin"))).alias("_b")
-    ).select("column", F.col("_b.bin").alias("modal_bin"))
-    corr = correlation_with_target(df, columns, target).select("column", F.col("corr").alias("target_corr"))
+    """One row per numeric column: nulls, distinct values, moments, quartiles, modal bin, target correlation.
+
+    Nulls, moments and correlations come from one pass; the bins are counted against its row.
+    """
+    aggs = []
+    for i, c in enumerate(columns):
+        x = F.col(c).cast("double")
+        aggs += [
+            F.count_if(F.col(c).isNull()).alias(f"m_{i}"), F.count(x).alias(f"n_{i}"), F.avg(x).alias(f"mean_{i}"),
+            F.stddev_samp(x).alias(f"std_{i}"), F.min(x).alias(f"min_{i}"), F.max(x).alias(f"max_{i}"),
+            correlation(c, target).alias(f"r_{i}"),
+        ]
+    (row,) = df.agg(F.count(F.lit(1)).alias("_rows"), *aggs).collect()
+    known = [
+        (c, row[f"m_{i}"], row[f"m_{i}"] / row["_rows"] if row["_rows"] else None)
+        + tuple(row[f"{k}_{i}"] for k in ("n", "mean", "std", "min", "max", "r"))
+        for i, c in enumerate(columns)
+    ]
+    summary = df.sparkSession.createDataFrame(
+        known, "column string, n_null long, ratio double, n long, mean double, std double, min double, max double, target_corr double"
+    )
+    places = [
+        F.struct(F.lit(c).alias("column"), F.when(number(c).isNotNull(), bin_index(number(c), F.lit(k[6]), F.lit(k[7]), bins)).alias("bin"))
+        for c, k in zip(columns, known)
+        if k[6] is not None
+    ]
+    binned = df.select(F.explode(F.array(*places)).alias("_s")) if places else None
+    if binned is None:
+        modal = df.sparkSession.createDataFrame([], "column string, modal_bin int")
+    else:
+        counts = binned.where("_s.bin IS NOT NULL").groupBy("_s.column", "_s.bin").agg(F.count(F.lit(1)).alias("_n"))
+        most = F.min(F.struct((-F.col("_n")).alias("r"), F.col("bin").alias("bin"))).alias("_b")
+        modal = counts.groupBy("column").agg(most).select("column", F.col("_b.bin").alias("modal_bin"))
+    q = quantiles(df, columns, [0.25, 0.5, 0.75], approximate=approximate)
+    quartiles = q.select(
+        "column", F.col("q")[0].alias("q25"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q75")
+    )
     return (
-        nulls.join(distinct_counts(df, columns, approximate), "column")
-        .join(described, "column")
+        summary.join(distinct_counts(df, columns, approximate), "column")
+        .join(quartiles, "column", "left")
         .join(modal, "column", "left")
-        .join(corr, "column")
     )

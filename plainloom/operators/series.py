@@ -62,3 +62,50 @@ def align_predictions(
     start: Column = F.when(F.col("split") == "test", F.col("_cut")).otherwise(F.lit(0))
     placed = placed.withColumn("position", F.col(index) + lookback + start + 1).drop("_cut", index)
     return placed.join(timeline, [*by, "split", "position"])
+
+
+def _solved(matrix: list[list[Column]], right: list[Column]) -> list[Column]:
+    """Solution of a symmetric positive definite system in expressions, by elimination without pivots."""
+    n = len(right)
+    m, r = [list(row) for row in matrix], list(right)
+    for k in range(n):
+        for i in range(k + 1, n):
+            factor = m[i][k] / m[k][k]
+            for j in range(k + 1, n):
+                m[i][j] = m[i][j] - factor * m[k][j]
+            r[i] = r[i] - factor * r[k]
+    out: list[Column] = [F.lit(0.0)] * n
+    for i in reversed(range(n)):
+        known = r[i]
+        for j in range(i + 1, n):
+            known = known - m[i][j] * out[j]
+        out[i] = known / m[i][i]
+    return out
+
+
+def series_models(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, lags: int = 2, ridge: float = 1.0
+) -> DataFrame:
+    """One autoregression for every series: (by..., n, intercept, b1 (latest lag), b2, ..., forecast).
+
+    The normal equations of a series are sums of products of its lag vectors, added up
+    in one aggregation (combined before the shuffle, so a long series is no hot group)
+    and solved in expressions. ``ridge`` is added to the diagonal, which also decides
+    series too short for their coefficients. A series needs ``lags`` + 1 known values.
+    """
+    windows = lookback_windows(df.select(*by, *order, value), by, order, value, lags)
+    x = [F.lit(1.0)] + [F.col("features")[lags - i].cast("double") for i in range(1, lags + 1)]
+    y, size = F.col("target").cast("double"), lags + 1
+    sums = [F.sum(x[i] * x[j]).alias(f"_s{i}_{j}") for i in range(size) for j in range(i, size)]
+    sums += [F.sum(x[i] * y).alias(f"_r{i}") for i in range(size)]
+    last = F.max_by(F.array(y, *x[1:lags]), F.struct(*order)).alias("_last")
+    normal = windows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), last, *sums)
+    cell = lambda i, j: F.col(f"_s{min(i, j)}_{max(i, j)}") + (ridge if i == j else 0.0)
+    names = ["intercept", *[f"b{i}" for i in range(1, size)]]
+    found = _solved([[cell(i, j) for j in range(size)] for i in range(size)], [F.col(f"_r{i}") for i in range(size)])
+    # Solved once; the forecast reads the solution.
+    solved = normal.select(*by, "n", "_last", *[f.alias(name) for f, name in zip(found, names)])
+    forecast = F.col("intercept")
+    for i in range(1, size):
+        forecast = forecast + F.col(f"b{i}") * F.col("_last")[i - 1]
+    return solved.select(*by, "n", *names, forecast.alias("forecast"))

@@ -155,6 +155,40 @@ def next_word_table(df: DataFrame, tokens: Column, order: int = 1) -> DataFrame:
     )
 
 
+def backoff_table(df: DataFrame, tokens: Column, longest: int = 3) -> DataFrame:
+    """(size, context, next, n): the most frequent follower of every context of up to ``longest`` words.
+
+    All sizes are counted in one pass; size 0, with an empty context, is the most frequent
+    word of all. Ties take the smallest word.
+    """
+    grams = explode_tokens(df, [], word_ngrams(tokens, 1, longest + 1), "gram")
+    words = F.split("gram", " ")
+    size = (F.size(words) - 1).alias("size")
+    pairs = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).select(
+        size, F.array_join(F.slice(words, 1, F.size(words) - 1), " ").alias("context"), F.element_at(words, -1).alias("next"), "n"
+    )
+    best = F.min(F.struct((-F.col("n")).alias("r"), F.col("next").alias("next"))).alias("_b")
+    return pairs.groupBy("size", "context").agg(best).select(
+        "size", "context", F.col("_b.next").alias("next"), (-F.col("_b.r")).alias("n")
+    )
+
+
+def backoff_next(df: DataFrame, keys: Sequence[str], tokens: Column, table: DataFrame, longest: int = 3) -> DataFrame:
+    """(keys..., size, next): the follower of the longest known context at the end of every row's tokens.
+
+    A context that was never seen falls back to the one a word shorter, at last to the
+    empty one. Repeated rows are answered each.
+    """
+    rows = df.select(*keys, F.monotonically_increasing_id().alias("_row"), tokens.alias("_tokens"))
+    sizes = F.sequence(F.lit(0), F.least(F.lit(longest), F.size("_tokens")))
+    asked = rows.select(*keys, "_row", "_tokens", F.explode(sizes).alias("size"))
+    start = F.size("_tokens") - F.col("size") + 1
+    asked = asked.select(*keys, "_row", "size", F.array_join(F.slice("_tokens", start, F.col("size")), " ").alias("context"))
+    hits = lookup(asked, table.select("size", "context", "next"), ["size", "context"], "left")
+    found = F.max(F.when(F.col("next").isNotNull(), F.struct("size", "next"))).alias("_b")
+    return hits.groupBy(*keys, "_row").agg(found).select(*keys, "_b.size", "_b.next")
+
+
 def continue_text(seeds: DataFrame, text: str, table: DataFrame, words: int, order: int = 1) -> DataFrame:
     """Append the most likely next word ``words`` times; a seed without follower stays as it is."""
     out = seeds

@@ -10,6 +10,7 @@ from plainloom.functions import text as X
 from plainloom.functions.dates import time_text
 from plainloom.operators import features, neighbours, recommend, series, signal, splits
 from plainloom.plans.catalog import query
+from plainloom.plans.text import STOP_WORDS
 from plainloom.session import stage, table
 
 
@@ -254,17 +255,21 @@ def popularity_blend(spark, sf):
     return best.select("id", F.round("score", 6).alias("score"))
 
 
+STOP_SQL = "(" + ", ".join(f"'{w}'" for w in STOP_WORDS) + ")"
 PROFILE_SQL = "lower(p_name) || ' ' || lower(p_type) || ' ' || regexp_replace(lower(p_brand), '[^a-z]', '', 'g') || p_size"
 
 
-def profiled_items(spark, sf):
+def part_profiles(spark, sf):
     bag = recommend.item_profile(
         [X.remove_punctuation_digits(F.col("p_name")), X.clean_comma_parts(F.col("p_type")),
          F.concat(X.clean_comma_parts(F.col("p_brand")), F.col("p_size").cast("string"))]
     )
-    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), bag.alias("bag"))
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("id"), bag.alias("bag"))
+
+
+def profiled_items(spark, sf):
     # unsold parts have a profile too; without sales their score is 0
-    every = parts.join(scored_items(spark, sf), "id", "left")
+    every = part_profiles(spark, sf).join(scored_items(spark, sf), "id", "left")
     return stage(every.withColumn("score", F.coalesce("score", F.lit(0.0))))
 
 
@@ -277,7 +282,7 @@ def item_profile(spark, sf):
     "content_recommend",
     rf"""WITH {ITEMS_SQL}, p AS (SELECT p_partkey AS id, coalesce(score, 0) AS score, {PROFILE_SQL} AS bag FROM part LEFT JOIN b ON p_partkey = b.id),
         t AS (SELECT id, unnest(regexp_extract_all(bag, '[\p{{L}}\p{{N}}_]{{2,}}')) AS term FROM p),
-        tf AS (SELECT id, term, count(*) AS tf FROM t GROUP BY 1, 2),
+        tf AS (SELECT id, term, count(*) AS tf FROM t WHERE term NOT IN {STOP_SQL} GROUP BY 1, 2),
         df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1 HAVING count(*) >= 5),
         wt AS (SELECT id, term, tf * (ln((1 + (SELECT count(*) FROM p)) / (1 + df)) + 1) AS w FROM tf JOIN df USING (term)),
         nw AS (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM wt),
@@ -288,11 +293,31 @@ def item_profile(spark, sf):
 )
 def content_recommend(spark, sf):
     out = recommend.content_recommend(
-        profiled_items(spark, sf), "id", X.word_tokens(F.col("bag")), "score", 7
+        profiled_items(spark, sf), "id", X.word_tokens(F.col("bag")), "score", 7, stop_words=STOP_WORDS
     )
     return out.select("id", *[F.round(c, 6).alias(c) for c in ("score", "similarity", "final_score")])
 
 
+@query(
+    "similar_items",
+    rf"""WITH p AS (SELECT p_partkey AS id, {PROFILE_SQL} AS bag FROM part),
+        t AS (SELECT id, unnest(regexp_extract_all(bag, '[\p{{L}}\p{{N}}_]{{2,}}')) AS term FROM p),
+        tf AS (SELECT id, term, count(*) AS tf FROM t WHERE term NOT IN {STOP_SQL} GROUP BY 1, 2),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+        wt AS (SELECT id, term, tf * (ln((1 + (SELECT count(DISTINCT id) FROM tf)) / (1 + df)) + 1) AS w FROM tf JOIN df USING (term)),
+        nw AS (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM wt),
+        s AS (SELECT x.id, y.id AS similar_id, sum(x.w * y.w) AS s FROM nw x JOIN nw y ON x.term = y.term AND x.id <> y.id GROUP BY 1, 2
+              HAVING sum(x.w * y.w) >= 0.7 - 1e-9)
+        SELECT id, similar_id, round(s, 6) AS similarity, (row_number() OVER (PARTITION BY id ORDER BY round(s, 9) DESC, similar_id))::INT AS rank
+        FROM s QUALIFY row_number() OVER (PARTITION BY id ORDER BY round(s, 9) DESC, similar_id) <= 5""",
+)
+def similar_items(spark, sf):
+    """The five items most like every item."""
+    items = part_profiles(spark, sf)
+    found = recommend.similar_items(items, "id", X.word_tokens(F.col("bag")), least=0.7, top_n=5, stop_words=STOP_WORDS)
+    return found.select("id", "rank", F.col("similar").alias("similar_id"), F.round("similarity", 6).alias("similarity"))
+
+
 @query(
     "cosine_topn",
     """SELECT e.vec_id, round(list_cosine_similarity(e.embedding::DOUBLE[], a.embedding::DOUBLE[]), 6) AS similarity

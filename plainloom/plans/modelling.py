@@ -489,6 +489,37 @@ def lag_forecast(spark, sf):
     return models.compare_regressors(regressors, train, rows.where("split = 'test'"), "target")
 
 
+def _det(a, b, c, d, e, f, g, h, i):
+    return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+
+_ROWS = (("n1", "sx", "sz"), ("sx", "xx", "xz"), ("sz", "xz", "zz"))
+_RIGHT = ("sy", "xy", "zy")
+_CRAMER = [
+    _det(*[_RIGHT[r] if c == k else _ROWS[r][c] for r in range(3) for c in range(3)]) + " / " + _det(*sum(_ROWS, ()))
+    for k in range(3)
+]
+
+
+@query(
+    "series_models",
+    f"""WITH l AS (SELECT user_id, ts, event_id, value AS y, lag(value, 1) OVER s AS x, lag(value, 2) OVER s AS z FROM events
+                  WINDOW s AS (PARTITION BY user_id ORDER BY ts, event_id)),
+        m AS (SELECT user_id, count(*) AS n, count(*) + 1 AS n1, sum(x) AS sx, sum(z) AS sz, sum(y) AS sy, sum(x * x) + 1 AS xx,
+                     sum(x * z) AS xz, sum(z * z) + 1 AS zz, sum(x * y) AS xy, sum(z * y) AS zy,
+                     arg_max(y, (ts, event_id)) AS y1, arg_max(x, (ts, event_id)) AS y2
+              FROM l WHERE z IS NOT NULL GROUP BY 1),
+        b AS (SELECT user_id, n, y1, y2, {_CRAMER[0]} AS intercept, {_CRAMER[1]} AS b1, {_CRAMER[2]} AS b2 FROM m)
+        SELECT user_id, n, round(intercept, 4) AS intercept, round(b1, 6) AS b1, round(b2, 6) AS b2,
+               round(intercept + b1 * y1 + b2 * y2, 4) AS forecast FROM b""",
+)
+def series_models(spark, sf):
+    """A model of its own for every user's series, and its next value."""
+    found = series.series_models(table(spark, sf, "events"), ["user_id"], ["ts", "event_id"], "value", lags=2)
+    places = {"intercept": 4, "b1": 6, "b2": 6, "forecast": 4}
+    return found.withColumns({c: F.round(c, p) for c, p in places.items()})
+
+
 @query("model_compare")
 def model_compare(spark, sf):
     train, test = vector_split(spark, sf)

@@ -364,6 +364,30 @@ def continue_text(spark, sf):
     return textstats.continue_text(seeds.where(F.col("continued").isNotNull()), "continued", follow, 3)
 
 
+BACKOFF_SQL = " UNION ALL ".join(
+    f"""SELECT {k} AS size, unnest([CASE WHEN {k} = 0 THEN '' ELSE array_to_string(w[i:i + {k} - 1], ' ') END FOR i IN range(1, len(w) - {k} + 1)]) AS context,
+               unnest([w[i + {k}] FOR i IN range(1, len(w) - {k} + 1)]) AS next FROM c"""
+    for k in range(4)
+)
+
+
+@query(
+    "next_word_backoff",
+    f"""WITH c AS (SELECT conv_id, turn, {CONV_WORDS_SQL} AS w FROM conversations),
+        b AS (SELECT size, context, next FROM ({BACKOFF_SQL}) GROUP BY 1, 2, 3
+              QUALIFY row_number() OVER (PARTITION BY size, context ORDER BY count(*) DESC, next) = 1),
+        q AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark),
+        a AS (SELECT item_id, k AS size, CASE WHEN k = 0 THEN '' ELSE array_to_string(w[len(w) - k + 1:], ' ') END AS context
+              FROM q, range(4) r(k) WHERE k <= len(w))
+        SELECT item_id, size::INT AS size, next FROM a JOIN b USING (size, context)
+        QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY size DESC) = 1""",
+)
+def next_word_backoff(spark, sf):
+    """The word after every benchmark text, by the longest context that the conversations know."""
+    known = textstats.backoff_table(table(spark, sf, "conversations"), words(), 3)
+    return textstats.backoff_next(table(spark, sf, "benchmark"), ["item_id"], words(), known, 3)
+
+
 @query(
     "json_field",
     "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",

@@ -61,7 +61,7 @@ def test_adaboost_beats_one_stump(spark):
     assert score(8) > score(1) + 0.05
 
 
-@pytest.mark.parametrize("sizes", [{}, {"n_pivots": 3, "block_rows": 20, "chunk_rows": 7}])
+@pytest.mark.parametrize("sizes", [{}, {"n_centres": 3, "block_rows": 20, "chunk_rows": 7}])
 def test_nearest_neighbours_against_brute_force(spark, sizes):
     rng = np.random.default_rng(3)
     points = rng.normal(size=(300, 4))
