@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline
@@ -182,6 +183,20 @@ def compare_classifiers(
     return rows.orderBy(F.col("accuracy").desc(), "model")
 
 
+def compare_reports(
+    estimators: Mapping[str, Estimator], train: DataFrame, test: DataFrame, label: str = "label"
+) -> tuple[DataFrame, DataFrame]:
+    """Per model a report of its classes, and its confusion of classes, all on the same rows."""
+    with reused(train) as data:
+        fitted = {name: e.fit(data) for name, e in estimators.items()}
+    reports, cells = [], []
+    for name, model in fitted.items():
+        scored = stage(model.transform(test).select(label, "prediction"))
+        reports.append(metrics.class_report(scored, label, "prediction").select(F.lit(name).alias("model"), "*"))
+        cells.append(metrics.confusion(scored, label, "prediction").select(F.lit(name).alias("model"), "*"))
+    return reduce(DataFrame.unionByName, reports), reduce(DataFrame.unionByName, cells)
+
+
 def compare_regressors(
     estimators: Mapping[str, Estimator], train: DataFrame, test: DataFrame, label: str
 ) -> DataFrame:
