@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plainloom.session import stage
+
 #: Six separators between words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -42,6 +44,20 @@ def with_columns(batch: pa.RecordBatch, drop: str, names: Sequence[str], columns
     )
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a column that names every row, the same in every job that reads them.
+
+    Rows of a Parquet table are named by a hash of their file's path and their place in
+    the file, so such a table is read again and not copied. Anything else is staged first.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() != "LogicalRelation" or "parquet" not in plan.toString():
+        docs = stage(docs)
+    place = docs.metadataColumn("_metadata")
+    row = F.struct(F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("place"))
+    return docs.select("*", row.alias(name))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, rows: int) -> DataFrame:
     """At most ``rows`` documents that have a label, with the label's columns.
 

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plainloom.llm.common import WORD, fresh
+from plainloom.llm.common import WORD, fresh, numbered
 from plainloom.operators.ordering import lookup, number_rows
 from plainloom.session import stage
 
@@ -103,7 +103,7 @@ def plan_mix(docs: DataFrame, seed: int = 0, **targets) -> DataFrame:
 def mix(docs: DataFrame, seed: int = 0, **targets) -> DataFrame:
     """The documents of the mix, each as often as it was drawn, with the columns of ``docs``."""
     row, copies, source, size = fresh(docs, "mix_row", "mix_copies", "mix_source", "mix_size")
-    kept = stage(docs.withColumn(row, F.monotonically_increasing_id()))
+    kept = numbered(docs, row)
     sized = kept.select("doc_id", "source", count_words("text").alias("size"), F.col(row).alias("row"))
     sized = stage(sized)
     drawn = systematic_copies(sized, source_targets(sized, **targets), seed).where("copies > 0")

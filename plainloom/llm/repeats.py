@@ -7,15 +7,17 @@ where equal ones must meet:
 1. In every string of LENGTH bytes the least hash of its strings of SEED bytes marks an
    anchor (the leftmost on ties). Neighbouring strings share their anchor; together
    they are a region. Equal strings have equal anchors at the same place.
-2. Anchors and regions are counted by hash, with sums made before the shuffle. A region
-   that stands twice is covered whole. One that stands once goes on if its anchor
-   stands elsewhere in another region.
+2. Anchors and regions are counted, with sums made before the shuffle. Equal regions are
+   told by a digest of 128 bits of their bytes and the anchor's place; equal texts by two
+   hashes of 64 bits. A region that stands twice is covered whole. One that stands once
+   goes on if its anchor stands elsewhere in another region. Regions that follow each
+   other and are equal, as in a text of one repeated byte, are one row with their number.
 3. Those regions, one copy of each, meet by anchor, and their suffixes are sorted:
    merge sort, in which two suffixes are compared by a binary search for their common
    extension with prefix polynomial hashes. Neighbours that agree for LENGTH bytes are
    compared byte by byte; should hashes have lied, their class is sorted by its bytes.
    Anchors in very many regions are sorted in blocks, and strings that are alone in
-   their block are matched between blocks by hash.
+   their block are matched between blocks by a digest of 128 bits.
 
 Nulls count as empty texts. Texts shorter than LENGTH bytes lose nothing. Rows that
 repeat a text are texts of their own, so each copy of a long one goes whole. An empty
@@ -41,7 +43,7 @@ LENGTH, SEED = 200, 40
 #: Bytes of a text that are looked at at once.
 PIECE = 1 << 20
 #: Regions of one anchor that are sorted together, and regions a task, about.
-BLOCK_REGIONS, TASK_REGIONS = 4_096, 6_000
+BLOCK_REGIONS, TASK_REGIONS = 1_500, 6_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _PLACES = 24  # low bits that hold a place within a piece
 
@@ -81,7 +83,10 @@ def _least_of_each(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors_of(raw: bytes) -> tuple[np.ndarray, ...]:
-    """anchor hash, region hash, first start, last start and anchor place of every region of a text."""
+    """anchor hash, two halves of the region's digest, first start, last start, anchor place and ``run`` of every region.
+
+    ``run`` counts the starts of the equal regions that follow at once and are left out.
+    """
     found: list[tuple[np.ndarray, ...]] = []
     width = LENGTH - SEED + 1
     for at in range(0, max(len(raw) - LENGTH + 1, 0), PIECE - LENGTH + 1):
@@ -96,17 +101,19 @@ def anchors_of(raw: bytes) -> tuple[np.ndarray, ...]:
         place = (_least_of_each(marked, width) & low).astype(np.int64)
         first = np.concatenate([[0], np.flatnonzero(place[1:] != place[:-1]) + 1])
         last = np.concatenate([first[1:] - 1, [len(place) - 1]])
-        region = np.fromiter(
-            (xxhash.xxh3_64_intdigest(part[a : b + LENGTH]) for a, b in zip(first.tolist(), last.tolist())),
-            dtype=np.uint64,
-            count=len(first),
-        )
+        digests = b"".join([xxhash.xxh3_128_digest(part[a : b + LENGTH]) for a, b in zip(first.tolist(), last.tolist())])
+        region, region2 = np.frombuffer(digests, dtype=np.uint64).reshape(-1, 2).T
         place = place[first]
         # A region cut by the end of a piece is one of its own, told apart by where its anchor lies in it.
         region = region ^ _mixed((place - first).astype(np.uint64) + np.uint64(1))
-        found.append((seeds[place].view(np.int64), region.view(np.int64), first + at, last + at, place + at))
+        same = (region[1:] == region[:-1]) & (region2[1:] == region2[:-1])
+        heads = np.flatnonzero(np.concatenate([[True], ~same]))
+        tails = np.concatenate([heads[1:] - 1, [len(first) - 1]])
+        run = last[tails] - last[heads]
+        columns = (seeds[place].view(np.int64), region.view(np.int64), region2.view(np.int64), first + at, last + at, place + at)
+        found.append((*(c[heads] for c in columns), run))
     if not found:
-        return tuple(np.empty(0, dtype=np.int64) for _ in range(5))
+        return tuple(np.empty(0, dtype=np.int64) for _ in range(7))
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
@@ -120,12 +127,12 @@ def _unpack(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def text_key() -> list[Column]:
-    """Two hashes that stand for a text in joins."""
-    return [F.xxhash64("text").alias("t1"), F.hash("text").alias("t2")]
+    """Two hashes of 64 bits that stand for a text in joins; the second starts from another seed."""
+    return [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("second"), "text").alias("t2")]
 
 
 def find_anchors(texts: DataFrame) -> DataFrame:
-    """(t1, t2, anchor, region, packed) of every region of (text, t1, t2)."""
+    """(t1, t2, anchor, region, region2, packed, run) of the regions of (text, t1, t2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,9 +140,9 @@ def find_anchors(texts: DataFrame) -> DataFrame:
             held: list[tuple[np.ndarray, ...]] = []
             size = 0
             for row, text in enumerate(batch.column("text").to_pylist()):
-                anchor, region, first, last, place = anchors_of(text.encode())
+                anchor, region, region2, first, last, place, run = anchors_of(text.encode())
                 if len(anchor):
-                    held.append((np.full(len(anchor), row), anchor, region, _pack(first, last, place)))
+                    held.append((np.full(len(anchor), row), anchor, region, region2, _pack(first, last, place), run))
                     size += len(anchor)
                 if size > 200_000:
                     yield emit(held, t1, t2)
@@ -144,19 +151,19 @@ def find_anchors(texts: DataFrame) -> DataFrame:
                 yield emit(held, t1, t2)
 
     def emit(held, t1, t2) -> pa.RecordBatch:
-        row, anchor, region, packed = (np.concatenate(c) for c in zip(*held))
-        columns = [t1[row], t2[row], anchor, region, packed]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["t1", "t2", "anchor", "region", "packed"])
+        row, *columns = (np.concatenate(c) for c in zip(*held))
+        names = ["t1", "t2", "anchor", "region", "region2", "packed", "run"]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (t1[row], t2[row], *columns)], names=names)
 
-    return texts.mapInArrow(run, "t1 long, t2 int, anchor long, region long, packed long")
+    return texts.mapInArrow(run, "t1 long, t2 long, anchor long, region long, region2 long, packed long, run long")
 
 
 def repeated_regions(anchors: DataFrame) -> DataFrame:
-    """(anchor, region, twice, regions) of anchors that stand twice: ``twice`` if the region does, and how many it has."""
-    counts = anchors.groupBy("anchor", "region").agg(F.count(F.lit(1)).alias("n"))
+    """(anchor, region, region2, twice, regions) of anchors that stand twice: ``twice`` if the region does, and how many it has."""
+    counts = anchors.groupBy("anchor", "region", "region2").agg(F.sum(F.when(F.col("run") > 0, 2).otherwise(1)).alias("n"))
     totals = counts.groupBy("anchor").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("regions"))
     found = counts.join(totals.where("total > 1"), "anchor")
-    return found.select("anchor", "region", (F.col("n") > 1).alias("twice"), F.col("regions").cast("int").alias("regions"))
+    return found.select("anchor", "region", "region2", (F.col("n") > 1).alias("twice"), F.col("regions").cast("int").alias("regions"))
 
 
 class Suffixes:
@@ -286,19 +293,20 @@ def _sorted_regions(frame: pd.DataFrame) -> pd.DataFrame:
     tail = found[tail] if len(found) else head
     stretches = pd.DataFrame({
         "t1": t1[row[head]], "t2": t2[row[head]], "start": first[row[head]] + offset[head],
-        "stop": first[row[tail]] + offset[tail] + LENGTH, "lone": 0, "anchor": 0, "covered": False,
+        "stop": first[row[tail]] + offset[tail] + LENGTH, "lone": 0, "lone2": 0, "anchor": 0, "covered": False,
     })
-    hashes = _mixed(suffixes.hashes(suffixes.starts[row[lone]] + offset[lone], LENGTH)).view(np.int64)
+    digests = b"".join([xxhash.xxh3_128_digest(suffixes.content(at)) for at in (suffixes.starts[row[lone]] + offset[lone]).tolist()])
+    hashes, hashes2 = np.frombuffer(digests, dtype=np.int64).reshape(-1, 2).T
     alone = pd.DataFrame({
         "t1": t1[row[lone]], "t2": t2[row[lone]], "start": first[row[lone]] + offset[lone],
-        "stop": first[row[lone]] + offset[lone] + LENGTH, "lone": hashes | 1, "anchor": anchor[row[lone]] * 1024 + before[lone],
+        "stop": first[row[lone]] + offset[lone] + LENGTH, "lone": hashes | 1, "lone2": hashes2, "anchor": anchor[row[lone]] * 1024 + before[lone],
         "covered": hit[lone] | ~single[row[lone]],
     })
     return pd.concat([stretches, alone])
 
 
 def cut_regions(texts: DataFrame, marks: DataFrame) -> DataFrame:
-    """Content of the marked regions: (anchor, region, twice, regions, packed, t1, t2, content), one row a region."""
+    """Content of the marked regions: (anchor, region, region2, twice, regions, packed, t1, t2, content), one row a region."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -315,17 +323,17 @@ def cut_regions(texts: DataFrame, marks: DataFrame) -> DataFrame:
             columns = [batch.column(c).take(where) for c in ("t1", "t2")]
             columns += [
                 pa.array([m[c] for m in taken], t)
-                for c, t in (("anchor", pa.int64()), ("region", pa.int64()), ("twice", pa.bool_()), ("regions", pa.int32()), ("packed", pa.int64()))
+                for c, t in (("anchor", pa.int64()), ("region", pa.int64()), ("region2", pa.int64()), ("twice", pa.bool_()), ("regions", pa.int32()), ("packed", pa.int64()))
             ]
-            names = ["t1", "t2", "anchor", "region", "twice", "regions", "packed", "content"]
+            names = ["t1", "t2", "anchor", "region", "region2", "twice", "regions", "packed", "content"]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(content, pa.binary())], names=names)
 
     joined = texts.join(marks, ["t1", "t2"]).select("t1", "t2", "text", "marks")
     cut = joined.mapInArrow(
-        run, "t1 long, t2 int, anchor long, region long, twice boolean, regions int, packed long, content binary"
+        run, "t1 long, t2 long, anchor long, region long, region2 long, twice boolean, regions int, packed long, content binary"
     )
     one = F.min_by(F.struct("t1", "t2", "packed", "content"), F.struct("t1", "t2", "packed"))
-    single = cut.groupBy("anchor", "region", "twice", "regions").agg(one.alias("one"))
+    single = cut.groupBy("anchor", "region", "region2", "twice", "regions").agg(one.alias("one"))
     return single.select("anchor", "region", "twice", "regions", "one.*")
 
 
@@ -334,9 +342,9 @@ def covered_stretches(docs: DataFrame, text: str = "text") -> tuple[DataFrame, D
     texts = docs.select(F.col("doc_id"), whole(text).alias("text")).select("doc_id", "text", *text_key())
     long_texts = texts.where(F.octet_length("text") >= LENGTH).select("t1", "t2", "text")
     known = stage(repeated_regions(find_anchors(long_texts)))
-    placed = find_anchors(long_texts).join(known, ["anchor", "region"])
-    mark = F.struct("packed", "anchor", "region", "twice", "regions")
-    lasting = F.when(F.col("twice"), F.col("packed"))
+    placed = find_anchors(long_texts).join(known, ["anchor", "region", "region2"])
+    mark = F.struct("packed", "anchor", "region", "region2", "twice", "regions")
+    lasting = F.when(F.col("twice"), F.struct("packed", "run"))
     sought = F.when(F.col("regions") > 1, mark)
     # A set: copies of a text say the same.
     marks = stage(placed.groupBy("t1", "t2").agg(F.collect_set(lasting).alias("whole"), F.collect_set(sought).alias("marks")))
@@ -348,18 +356,19 @@ def covered_stretches(docs: DataFrame, text: str = "text") -> tuple[DataFrame, D
     dealt = regions.withColumn("task", F.pmod(F.xxhash64("anchor", "block"), F.lit(tasks)))
     found = stage(
         dealt.groupBy("task").applyInPandas(
-            lambda frame: _sorted_regions(frame), "t1 long, t2 int, start long, stop long, lone long, anchor long, covered boolean"
+            lambda frame: _sorted_regions(frame), "t1 long, t2 long, start long, stop long, lone long, lone2 long, anchor long, covered boolean"
         )
     )
     between = found.where("lone <> 0")
-    matched = between.groupBy("anchor", "lone").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    more = between.where("NOT covered").join(matched, ["anchor", "lone"]).select("t1", "t2", "start", "stop")
+    same = ["anchor", "lone", "lone2"]
+    matched = between.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    more = between.where("NOT covered").join(matched, same).select("t1", "t2", "start", "stop")
     sorted_out = found.where("lone = 0").select("t1", "t2", "start", "stop").union(more)
     sorted_out = sorted_out.groupBy("t1", "t2").agg(F.collect_set(F.struct("start", "stop")).alias("sorted"))
 
-    def stretch(packed: Column) -> Column:
-        start = F.shiftright(packed, 20)
-        stop = start + F.shiftright(packed, 10).bitwiseAND(F.lit(1023).cast("long")) + LENGTH
+    def stretch(found: Column) -> Column:
+        start = F.shiftright(found["packed"], 20)
+        stop = start + F.shiftright(found["packed"], 10).bitwiseAND(F.lit(1023).cast("long")) + found["run"] + LENGTH
         return F.struct(start.alias("start"), stop.alias("stop"))
 
     none = F.expr("cast(array() as array<struct<start: bigint, stop: bigint>>)")

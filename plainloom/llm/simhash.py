@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plainloom.llm.common import each_text, fresh, whole, with_columns
+from plainloom.llm.common import fresh, numbered, whole
 from plainloom.session import stage
 
 SEGMENTS, WIDTH = 4, 16
@@ -133,8 +133,8 @@ def near_duplicates(docs: DataFrame, words_each: int = 3, most: int = 3) -> Data
 def keep_one(docs: DataFrame, words_each: int = 3, most: int = 3) -> DataFrame:
     """One row of each component, with its columns: the smallest doc_id, null ones last, one of repeated rows."""
     row, fp = fresh(docs, "simhash_row", "simhash_fp")
-    kept = stage(with_fingerprints(docs, fp, words_each).withColumn(row, F.monotonically_increasing_id()))
-    rows = kept.select("doc_id", F.col(fp).alias("fp"), F.col(row).alias("row"))
+    kept = numbered(docs, row)
+    rows = with_fingerprints(kept, fp, words_each).select("doc_id", F.col(fp).alias("fp"), F.col(row).alias("row"))
     distinct = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
     distinct = stage(distinct)
     roots = components(links(distinct.select("fp"), most)).withColumnRenamed("node", "fp")

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -140,6 +141,43 @@ def test_repeats_equal_brute_force(spark, odd, monkeypatch, block, task):
     assert by_row(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == without_repeats(rows)
 
 
+def test_repeats_survive_colliding_hashes(spark, monkeypatch):
+    """Strings that agree in 150 bytes get one hash: the bytes must tell them apart."""
+    real = repeats.Suffixes.hashes
+    monkeypatch.setattr(repeats.Suffixes, "hashes", lambda self, at, length: real(self, at, np.minimum(length, 150)))
+    stem, tails = words(60)[:190], [words(20) for _ in range(6)]
+    regions = [(stem + t).encode()[:260] for t in tails] + [(stem + tails[0]).encode()[:260]]
+    suffixes = repeats.Suffixes(regions)
+    at = np.concatenate([s + np.arange(40) for s in suffixes.starts])
+    group = np.concatenate([np.arange(40)] * len(regions))
+    order, same = suffixes.sort(at, group)
+    found = [suffixes.content(int(a)) for a in at[order]]
+    for k in range(1, len(order)):
+        if group[order[k]] == group[order[k - 1]]:
+            assert found[k - 1] <= found[k] and same[k] == (found[k - 1] == found[k])
+
+
+@pytest.mark.parametrize("text", ["-" * 6_000 + "x", "a" * 200_000, "ab" * 3_000, "abcdefg" * 900 + "-" * 300, "\n" * 1_000_000])
+def test_repeated_bytes_make_few_regions(text):
+    anchor, *_, first, last, place, run = repeats.anchors_of(text.encode())
+    assert len(anchor) < 400
+    # Every start stands in one region, or in the run that follows it.
+    assert first[0] == 0 and (first[1:] == (last + run)[:-1] + 1).all() and (last + run)[-1] == len(text) - 200
+
+
+def test_repeats_of_low_entropy_equal_brute_force(spark):
+    rows = [(1, "a" * 450), (2, "b" + "a" * 230), (3, "ab" * 150), (4, "xyz" * 70 + "q"), (5, "-" * 300 + "x" + "-" * 250), (6, "z" * 200), (7, "z" * 199 + "y")]
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert by_row(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == without_repeats(rows)
+
+
+def test_repeats_with_clashing_columns(spark):
+    rows = [(1, "same " * 60, 1, 2, 3), (2, "same " * 60, None, None, None)]
+    clash = spark.createDataFrame(rows, "doc_id long, text string, t1 int, anchor int, stretches int")
+    got = repeats.remove_repeats(clash)
+    assert by_row(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == without_repeats([r[:2] for r in rows])
+
+
 def test_repeats_of_no_rows(none):
     assert repeats.remove_repeats(none).count() == 0
 
@@ -391,3 +429,29 @@ def test_rules_from_labels(learned, odd):
     assert sum(good) / len(good) > 0.95
     assert rules.judge(odd, found).count() == len(ROWS)
     assert rules.fit(docs, labels.limit(0)) == []
+
+
+# --- rows named by their place
+
+
+def test_rows_of_parquet_are_named_and_not_copied(spark, odd, monkeypatch, tmp_path):
+    from pyspark.sql import functions as F
+
+    from plainloom.llm import common
+
+    staged = []
+    real = common.stage
+    monkeypatch.setattr(common, "stage", lambda df: staged.append(1) or real(df))
+    path = str(tmp_path / "docs")
+    odd.write.parquet(path)
+    read = spark.read.parquet(path)
+    rows = common.numbered(read, "row")
+    assert rows.select("row").distinct().count() == len(ROWS) and not staged
+    again = common.numbered(read, "row").where("doc_id = 6").select("row", "text")
+    assert again.join(rows.select("row", "doc_id"), "row").first()["doc_id"] == 6
+    for derived in (odd, read.where("doc_id > 3"), read.union(read), read.select("*", F.explode(F.sequence(F.lit(1), F.lit(2))).alias("copy"))):
+        assert common.numbered(derived, "row").select("row").distinct().count() == derived.count()
+    assert len(staged) == 4
+    assert Counter(r["doc_id"] for r in simhash.keep_one(read).collect()) == Counter(r["doc_id"] for r in simhash.keep_one(odd).collect())
+    drawn = lambda df: Counter(r["doc_id"] for r in mixing.mix(df).collect())
+    assert drawn(read).keys() == drawn(odd).keys()
