@@ -6,7 +6,7 @@ import importlib
 
 from plainloom.plans import catalog
 
-MODULES = ("basics", "profiling", "text", "features", "modelling", "files", "closed")
+MODULES = ("basics", "profiling", "text", "features", "modelling", "files", "closed", "structure")
 
 
 def load():
