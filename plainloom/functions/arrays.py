@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plainloom.functions.text import let
@@ -44,6 +46,13 @@ def growing_prefixes(values: Column) -> Column:
     return let(values, prefixes)
 
 
+def prefix_rows(df: DataFrame, keys: Sequence[str], values: str, name: str = "p") -> DataFrame:
+    """A row (keys..., name) for every prefix of length 2 or more; no row ever holds more than one of them."""
+    size = F.size(values)
+    ends = df.where(size >= 2).select(*keys, values, F.explode(F.sequence(F.lit(2), size)).alias("_end"))
+    return ends.select(*keys, F.slice(values, F.lit(1), F.col("_end")).alias(name))
+
+
 def split_target(values: Column) -> tuple[Column, Column]:
     """All but the last element, and the last element."""
     return F.slice(values, 1, F.greatest(F.size(values) - 1, F.lit(0))), F.try_element_at(values, F.lit(-1))

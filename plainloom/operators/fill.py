@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plainloom.functions.columns import nan_to_null
 from plainloom.operators.ordering import lookup
 from plainloom.operators.quantiles import medians, modes
 
@@ -16,6 +17,13 @@ def fill_constants(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in values.items()})
 
 
+def _known(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with a NaN of the column as null, so that it is filled too."""
+    if df.schema[column].dataType.typeName() not in ("double", "float"):
+        return df
+    return df.withColumn(column, nan_to_null(F.col(column)))
+
+
 def _statistic(df: DataFrame, column: str, by: Sequence[str], stat: str) -> DataFrame:
     if stat == "median":
         return medians(df, column, by, "_fill")
@@ -28,8 +36,9 @@ def _statistic(df: DataFrame, column: str, by: Sequence[str], stat: str) -> Data
 
 def fill_statistic(df: DataFrame, column: str, stat: str) -> DataFrame:
     """Fill with the column's mean, median or mode (smallest on ties)."""
-    value = _statistic(df, column, [], stat).scalar()
-    return df.withColumn(column, F.coalesce(F.col(column), value))
+    known = _known(df, column)
+    value = _statistic(known, column, [], stat).scalar()
+    return known.withColumn(column, F.coalesce(F.col(column), value))
 
 
 def fill_group(df: DataFrame, column: str, by: Sequence[str], stat: str) -> DataFrame:
@@ -38,6 +47,7 @@ def fill_group(df: DataFrame, column: str, by: Sequence[str], stat: str) -> Data
     The statistic is aggregated (combined before the shuffle) and joined back:
     a window over the group would send a hot group to one task.
     """
+    df = _known(df, column)
     groups = _statistic(df.na.drop(subset=list(by)), column, by, stat)
     filled = lookup(df, groups, by, "left").withColumn(column, F.coalesce(F.col(column), F.col("_fill")))
     return filled.select(*df.columns)

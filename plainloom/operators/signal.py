@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plainloom.operators.ordering import join_null_safe, lookup
-from plainloom.operators.quantiles import melt
 
 FEATURES = ("mean", "std", "skew", "kurtosis", "rms", "max", "p2p")
 
@@ -52,13 +51,18 @@ def histogram_entropy(df: DataFrame, by: Sequence[str], channels: Sequence[str],
     range, bin counts and entropy are three aggregations combined before the shuffle.
     """
     keys = [*by, "column"]
-    long = melt(df, channels, by).where(F.col("value").isNotNull())
-    ranges = long.groupBy(*keys).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
-    scaled = (F.col("value") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * bins
-    index = F.coalesce(F.greatest(F.ceil(scaled) - 1, F.lit(0)), F.lit(0))
-    counts = lookup(long, ranges, keys, null_safe=True).groupBy(*keys, index.alias("_bin")).agg(
-        F.count(F.lit(1)).cast("double").alias("_c")
-    )
+    rows = df.select(*by, *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(channels)])
+    edges = [f(f"_x{i}").alias(f"_{n}{i}") for i in range(len(channels)) for n, f in (("lo", F.min), ("hi", F.max))]
+    # One row of ranges a group meets the readings as they stand; they are binned in place.
+    placed = lookup(rows, rows.groupBy(*by).agg(*edges), by, null_safe=True)
+    bins_of = []
+    for i, c in enumerate(channels):
+        x, lo, hi = F.col(f"_x{i}"), F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        scaled = (x - lo) / F.nullif(hi - lo, F.lit(0.0)) * bins
+        index = F.coalesce(F.greatest(F.ceil(scaled) - 1, F.lit(0)), F.lit(0))
+        bins_of.append(F.struct(F.lit(c).alias("column"), F.when(x.isNotNull(), index).alias("_bin")))
+    binned = placed.select(*by, F.inline(F.array(*bins_of))).where(F.col("_bin").isNotNull())
+    counts = binned.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).cast("double").alias("_c"))
     total = F.sum("_c")
     entropy = F.log(total) - F.sum(F.col("_c") * F.log("_c")) / total
     return counts.groupBy(*keys).agg(entropy.alias("entropy"))

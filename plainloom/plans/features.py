@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -178,11 +177,9 @@ def dummies_drop_first(spark, sf):
 )
 def onehot_full(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    indexer = StringIndexer(inputCol="o_orderpriority", outputCol="i", stringOrderType="alphabetAsc")
-    indexed = indexer.fit(orders).transform(orders)
-    encoder = OneHotEncoder(inputCol="i", outputCol="v", dropLast=False)
-    encoded = encoder.fit(indexed).transform(indexed)
-    flags = F.transform(vector_to_array("v"), lambda x: x.cast("int").cast("string"))
+    encoded = features.dummy_positions(orders, ["o_orderpriority"], drop_first=False)
+    entries = F.sequence(F.lit(0).cast("long"), F.col("width") - 1)
+    flags = F.transform(entries, lambda i: F.array_contains("positions", i).cast("int").cast("string"))
     return encoded.select("o_orderkey", F.array_join(flags, " ").alias("onehot"))
 
 

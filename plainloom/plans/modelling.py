@@ -93,7 +93,7 @@ def quality_split(spark, sf):
 
 
 def _scores(name, estimator, train, test):
-    return models.classification_scores(models.fit(estimator, train).transform(test), "label", name)
+    return models.classification_scores(models.fit(estimator, train, ["features", "label"]).transform(test), "label", name)
 
 
 def _total(vector):
@@ -354,8 +354,9 @@ def masked_accuracy(spark, sf):
     truth = F.transform(words, lambda w: (F.length(w) % 3 + 1).cast("long"))
     guess = F.transform(words, lambda w: (F.instr(w, "e") % 3 + 1).cast("long"))
     texts = table(spark, sf, "conversations")
-    longest = texts.agg(F.max(F.size(words))).scalar()
-    padded = texts.select(A.pad_right(truth, longest).alias("truth"), A.pad_right(guess, longest).alias("guess"))
+    # every row is padded, to the next multiple of 8: what is masked out does not grow with the longest row
+    length = (F.size(words) + 8 - F.size(words) % 8).cast("int")
+    padded = texts.select(A.pad_right(truth, length).alias("truth"), A.pad_right(guess, length).alias("guess"))
     out = metrics.masked_accuracy(padded, F.col("truth"), F.col("guess"))
     return out.withColumn("accuracy", F.round("accuracy", 6))
 

@@ -332,7 +332,7 @@ def prefix_sequences(spark, sf):
     keys = ["conv_id", "turn", "line"]
     encoded = stage(textstats.encode_tokens(lines, keys, words(), conversation_index(spark, sf)))
     longest = encoded.agg(F.max(F.size("ids"))).scalar()
-    prefixes = encoded.select(*keys, F.explode(A.growing_prefixes(F.col("ids"))).alias("p"))
+    prefixes = A.prefix_rows(encoded, keys, "ids")
     features, target = A.split_target(A.pad_left(F.col("p"), longest))
     return prefixes.select(
         *keys, F.size("p").alias("k"), F.array_join(features, " ").alias("features"), target.alias("target")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plainloom.functions.columns import nan_to_null
 from plainloom.functions.dates import file_time
 from plainloom.session import stage
 
@@ -34,10 +35,16 @@ def read_csv(
     encoding: str = "UTF-8",
     drop_malformed: bool = False,
 ) -> DataFrame:
-    """One file, a list of files or a glob as one table (many yearly files included)."""
+    """One file, a list of files or a glob as one table (many yearly files included). NaN is read as null."""
     if drop_malformed:
         return read_csv_with_rejects(spark, path, schema, header, sep, encoding)[0]
-    return _csv(spark, _schema(schema), header, sep, encoding).csv(path if isinstance(path, str) else list(path))
+    rows = _csv(spark, _schema(schema), header, sep, encoding).csv(path if isinstance(path, str) else list(path))
+    return _without_nan(rows)
+
+
+def _without_nan(rows: DataFrame) -> DataFrame:
+    floats = [f.name for f in rows.schema if f.dataType.typeName() in ("double", "float")]
+    return rows.withColumns({c: nan_to_null(F.col(f"`{c}`")) for c in floats}) if floats else rows
 
 
 def read_tsv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, header: bool = False) -> DataFrame:
@@ -60,7 +67,7 @@ def read_csv_with_rejects(
     marked = T.StructType([*_schema(schema).fields, T.StructField(CORRUPT, T.StringType())])
     reader = _csv(spark, marked, header, sep, encoding).option("columnNameOfCorruptRecord", CORRUPT)
     parsed = stage(reader.csv(path if isinstance(path, str) else list(path)))
-    good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    good = _without_nan(parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT))
     return good, parsed.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
@@ -102,10 +109,10 @@ def read_snapshots(
     stands in the name of the ``file`` or of its ``folder``.
     """
     schema = T.StructType([T.StructField(c, T.DoubleType()) for c in channels])
-    rows = read_tsv(spark, path, schema, header)
+    rows = _csv(spark, schema, header, "\t", "UTF-8").csv(path)
     folder = F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1)
     name = F.col("_metadata.file_name") if stamp == "file" else folder
-    return rows.select(file_time(name).alias("file_ts"), *channels)
+    return _without_nan(rows.select(file_time(name).alias("file_ts"), *channels))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

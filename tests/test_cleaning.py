@@ -186,3 +186,15 @@ def test_signal_small_groups(spark):
     out = {r["g"]: r for r in signal.time_features(df, ["g"], ["x"]).collect()}
     assert out["a"]["x_std"] is None and out["a"]["x_skew"] is None and out["a"]["x_entropy"] == 0.0
     assert out["b"]["x_skew"] == 0.0 and out["b"]["x_kurtosis"] == 0.0 and out["b"]["x_p2p"] == 4.0
+
+
+def test_nan_is_filled(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("a", 3.0), ("b", None)], "g string, x double")
+    assert sorted(r["x"] for r in fill.fill_statistic(df, "x", "mean").collect()) == [1.0, 2.0, 2.0, 3.0]
+    got = fill.fill_chain(df, "x", ["g"], "median", 0.0).collect()
+    assert sorted((r["g"], r["x"]) for r in got) == [("a", 1.0), ("a", 2.0), ("a", 3.0), ("b", 0.0)]
+
+
+def test_prefix_rows(spark):
+    df = spark.createDataFrame([(1, [5, 6, 7]), (2, [1]), (3, [])], "k int, v array<int>")
+    assert sorted((r["k"], r["p"]) for r in A.prefix_rows(df, ["k"], "v").collect()) == [(1, [5, 6]), (1, [5, 6, 7])]

@@ -129,3 +129,9 @@ def test_promoted_headers_in_any_order(spark, tmp_path):
     rows = readers.read_promoted(spark, str(tmp_path), "id int, name string, rate double").collect()
     key = lambda r: (r[0] is None, r[0])
     assert sorted(map(tuple, rows), key=key) == [(1, "x, y", 0.5), (2, None, None), (3, None, 1.5), (None, None, None)]
+
+
+def test_nan_is_read_as_null(spark, tmp_path):
+    (tmp_path / "n.csv").write_text("a,b\n1.5,NaN\nNaN,2\n")
+    rows = readers.read_csv(spark, str(tmp_path / "n.csv"), "a double, b float").collect()
+    assert sorted(map(tuple, rows), key=repr) == [(1.5, None), (None, 2.0)]
