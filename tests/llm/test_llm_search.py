@@ -38,6 +38,54 @@ def test_recall_and_scores(spark, block):
         assert abs(r["score"] - a @ b / np.linalg.norm(a) / np.linalg.norm(b)) < 1e-12
 
 
+def recall_and_share(spark, vectors, queries_each=50, k=5):
+    rows = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    usable = forest.usable(rows)
+    got = forest.neighbours(usable, usable.where(f"vec_id % {queries_each} = 0"), k, with_examined=True).collect()
+    wanted = exact(vectors, range(len(vectors)), range(0, len(vectors), queries_each), k)
+    found = {}
+    for r in got:
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    recall = sum(len(found[q] & set(w)) for q, w in wanted.items()) / (k * len(wanted))
+    return recall, np.mean([r["examined"] for r in got]) / len(vectors)
+
+
+@pytest.mark.parametrize("prefix_rows", [4_096, 64])
+def test_few_rows_are_examined_where_there_are_near_ones(spark, monkeypatch, prefix_rows):
+    ship(spark)
+    monkeypatch.setattr(forest, "PREFIX_ROWS", prefix_rows)
+    draw = np.random.default_rng(6)
+    centres = draw.standard_normal((250, 32))
+    vectors = centres[draw.integers(0, 250, 5_000)] + 0.15 * draw.standard_normal((5_000, 32))
+    recall, share = recall_and_share(spark, vectors)
+    assert recall >= 0.9 and share < 0.1
+
+
+def test_rows_without_structure_are_found_too(spark):
+    ship(spark)
+    recall, share = recall_and_share(spark, np.random.default_rng(7).standard_normal((2_000, 32)))
+    assert recall >= 0.9 and share <= 1
+
+
+def test_common_bits_and_copies(spark):
+    ship(spark)
+    draw = np.random.default_rng(8)
+    for _ in range(200):
+        a, bits = int(draw.integers(0, 1 << 48)), int(draw.integers(0, 49))
+        b = a ^ (int(draw.integers(0, 1 << (47 - bits))) | 1 << (47 - bits)) if bits < 48 else a
+        assert forest.common_bits(np.array([b]), a)[0] == bits
+    # A third of the rows is one vector; other rows are near it, and all strings of a tree may be equal.
+    base = draw.standard_normal(16)
+    vectors = [base] * 700 + [base + 1e-5 * draw.standard_normal(16) for _ in range(700)] + list(draw.standard_normal((700, 16)))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    usable = forest.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5))
+    got = forest.neighbours(usable, usable.where("vec_id % 350 = 0"), k=5).collect()
+    assert len(got) == 30
+    assert sorted(r["vec_id"] for r in got if r["query_id"] == 350) == [0, 1, 2, 3, 4]
+    assert sorted(r["vec_id"] for r in got if r["query_id"] == 0) == [1, 2, 3, 4, 5]
+    assert all(r["score"] > 0.99 for r in got if r["query_id"] < 1_400)
+
+
 def test_ties_and_few_candidates(spark):
     ship(spark)
     rows = spark.createDataFrame([(i, [1.0, 2.0]) for i in (50, 3, 8, 1)], "vec_id long, embedding array<double>")
@@ -78,4 +126,4 @@ def test_every_operator_has_its_query():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
