@@ -11,10 +11,11 @@ shuffles at most a row per task and bin, whatever the size of a group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from plainloom.operators.ordering import join_null_safe
@@ -48,70 +49,69 @@ def number(column: str) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-_RANGE = "size", "before", "n", "lo", "hi"
-
-
-def _ranks(probs: Sequence[float]) -> list[Column]:
+def _ranks(probs: Sequence[float]) -> list[str]:
     """The two ranks, from 0, around every wanted place."""
-    out = []
-    for p in probs:
-        place = (F.col("size") - 1) * F.lit(float(p))
-        out += [F.floor(place), F.ceil(place)]
-    return out
+    return [f"{end}((size - 1) * {float(p)!r}D)" for p in probs for end in ("floor", "ceil")]
 
 
 def _whole_ranges(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
     """(by..., c, size, before, n, lo, hi): one range for every group and column with a number; one pass."""
     aggs, each = [], []
     for i, c in enumerate(columns):
-        x, n = number(c), F.col(f"_n{i}")
+        x = number(c)
         aggs += [F.count(x).alias(f"_n{i}"), F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}")]
-        values = (F.lit(i), n, F.lit(0).cast("long"), n, F.col(f"_lo{i}"), F.col(f"_hi{i}"))
-        each.append(F.struct(*[v.alias(f) for v, f in zip(values, ("c", *_RANGE))]))
-    return df.groupBy(*by).agg(*aggs).select(*by, F.inline(F.array(*each))).where("n > 0")
+        each.append(f"struct({i} AS c, _n{i} AS size, 0L AS before, _n{i} AS n, _lo{i} AS lo, _hi{i} AS hi)")
+    long = df.groupBy(*by).agg(*aggs).select(*by, F.expr(f"inline(array({', '.join(each)}))"))
+    return long.where("n > 0")
 
 
 def _lists(ranges: DataFrame, columns: Sequence[str], by: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """The ranges that hold a wanted rank, as lists r0, r1, ... of the columns in one row a group.
 
-    ``told`` has the values of the wanted ranks that a range's edges tell; it is ``open`` if it holds another one.
+    ``told`` has the values of the wanted ranks that a range's edges tell; it is ``open`` if it
+    holds another one. ``short`` and ``wide`` say how many open ranges a column has at most,
+    of no more and of more than ``LEAF`` values.
     """
-    told, open_, wanted = [], F.lit(False), F.lit(False)
-    after = F.col("before") + F.col("n")
-    for rank in _ranks(probs):
-        inside = (rank >= F.col("before")) & (rank < after)
-        least = (rank == F.col("before")) | (F.col("lo") == F.col("hi"))
-        value = F.when(inside & least, F.col("lo")).when(inside & (rank == after - 1), F.col("hi"))
-        told.append(value)
-        wanted, open_ = wanted | inside, open_ | (inside & value.isNull())
-    one = F.struct(*_RANGE, open_.alias("open"), F.array(*told).alias("told"))
-    lists = [F.collect_list(F.when(F.col("c") == i, F.col("_one"))).alias(f"r{i}") for i in range(len(columns))]
-    return ranges.where(wanted).select(*by, "c", one.alias("_one")).groupBy(*by).agg(*lists)
-
-
-def _in_ranges(df: DataFrame, columns: Sequence[str], by: Sequence[str], lists: list[list[Column]]) -> DataFrame:
-    """(by..., c, size, before, lo, hi, x): the numbers in one of the ranges of their column; null ranges hold none."""
+    inside = [f"({rank} >= before AND {rank} < before + n)" for rank in _ranks(probs)]
+    told = [
+        f"CASE WHEN {held} AND ({rank} = before OR lo = hi) THEN lo WHEN {held} AND {rank} = before + n - 1 THEN hi END"
+        for rank, held in zip(_ranks(probs), inside)
+    ]
+    open_ = " OR ".join(f"({held} AND {value} IS NULL)" for held, value in zip(inside, told))
+    marked = ranges.where(" OR ".join(inside)).withColumns({"told": F.expr(f"array({', '.join(told)})"), "open": F.expr(open_)})
+    aggs = []
+    for i in range(len(columns)):
+        own = f"CASE WHEN c = {i} THEN struct(size, before, n, lo, hi, open, told) END"
+        aggs += [
+            F.expr(f"collect_list({own})").alias(f"r{i}"),
+            F.expr(f"count_if(c = {i} AND open AND n <= {LEAF})").alias(f"short{i}"),
+            F.expr(f"count_if(c = {i} AND open AND n > {LEAF})").alias(f"wide{i}"),
+        ]
+    return marked.groupBy(*by).agg(*aggs)
+
+
+def _in_ranges(df: DataFrame, columns: Sequence[str], by: Sequence[str], lists: list[list[str]]) -> DataFrame:
+    """(by..., c, size, before, lo, hi, x): the numbers in one of the ranges of their column; null ranges hold none.
+
+    A range is an expression for a struct of (size, before, lo, hi).
+    """
+    rows = df.select("*", *[number(c).alias(f"_x{i}") for i, c in enumerate(columns)])
     found = []
-    for i, (c, ranges) in enumerate(zip(columns, lists)):
-        x, at = number(c), F.lit(None)
-        for r in ranges:
-            values = F.struct(*[r[f].alias(f) for f in ("size", "before", "lo", "hi")])
-            at = F.when(x.between(r["lo"], r["hi"]), values).otherwise(at)
+    for i, ranges in enumerate(lists):
         if ranges:
-            found.append(F.struct(F.lit(i).alias("c"), at.alias("at"), x.alias("x")))
-    long = df.select(*by, F.explode(F.array(*found)).alias("_s")).where("_s.at IS NOT NULL")
-    return long.select(*by, "_s.c", "_s.at.*", "_s.x")
+            cases = " ".join(f"WHEN _x{i} BETWEEN {r}.lo AND {r}.hi THEN {r}" for r in ranges)
+            found.append(f"struct({i} AS c, CASE {cases} END AS at, _x{i} AS x)")
+    long = rows.select(*by, F.expr(f"inline(array({', '.join(found)}))")).where("at IS NOT NULL")
+    return long.select(*by, "c", "at.size", "at.before", "at.lo", "at.hi", "x")
 
 
 def _bins(values: DataFrame, by: Sequence[str]) -> DataFrame:
     """Ranges like those given, each cut in bins; halves keep the width of a range finite."""
-    width = F.col("hi") / 2 - F.col("lo") / 2
-    share = F.nanvl((F.col("x") / 2 - F.col("lo") / 2) / F.nullif(width, F.lit(0.0)), F.lit(0.5))
-    inner = F.least(F.floor(F.coalesce(share, F.lit(0.5)) * BINS), F.lit(BINS - 1))
+    share = "coalesce(nanvl((x / 2 - lo / 2) / nullif(hi / 2 - lo / 2, 0D), 0.5D), 0.5D)"
     # The two edges never share a bin, so every pass narrows a range.
-    place = F.when(F.col("x") == F.col("lo"), 0).when(F.col("x") == F.col("hi"), BINS - 1).otherwise(inner)
-    cut = values.groupBy(*by, "c", "size", "before", place.cast("int").alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")
+    place = f"CASE WHEN x = lo THEN 0 WHEN x = hi THEN {BINS - 1} ELSE least(floor({share} * {BINS}), {BINS - 1}) END"
+    cut = values.groupBy(*by, "c", "size", "before", F.expr(f"cast({place} AS int)").alias("bin")).agg(
+        F.expr("count(1)").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")
     )
     earlier = Window.partitionBy(*by, "c", "before").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     reached = F.col("before") + F.coalesce(F.sum("n").over(earlier), F.lit(0))
@@ -120,11 +120,9 @@ def _bins(values: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def _listed(values: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """(by..., c, size, told): the wanted ranks in ranges that are short enough to be listed."""
-    lists = values.groupBy(*by, "c", "size", "before").agg(F.sort_array(F.collect_list("x")).alias("_all"))
-    picks = [
-        F.when(rank >= F.col("before"), F.get("_all", (rank - F.col("before")).cast("int"))) for rank in _ranks(probs)
-    ]
-    return lists.select(*by, "c", "size", F.array(*picks).alias("told"))
+    lists = values.groupBy(*by, "c", "size", "before").agg(F.expr("sort_array(collect_list(x))").alias("_all"))
+    picks = [f"CASE WHEN {rank} >= before THEN get(_all, cast({rank} - before AS int)) END" for rank in _ranks(probs)]
+    return lists.select(*by, "c", "size", F.expr(f"array({', '.join(picks)})").alias("told"))
 
 
 def _order_statistics(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
@@ -133,34 +131,34 @@ def _order_statistics(df: DataFrame, columns: Sequence[str], probs: Sequence[flo
     Without groups the ranges are a few literals; with groups they are a staged table that joins the rows.
     """
     names = [f"r{i}" for i in range(len(columns))]
-    needed = df.select(*dict.fromkeys([*by, *columns]))
-    fits = {True: lambda r: r["open"] & (r["n"] <= LEAF), False: lambda r: r["open"] & (r["n"] > LEAF)}
     found: list[DataFrame] = []
-
-    def inside(short: bool) -> DataFrame | None:
-        """The numbers in open ranges of at most, or more than, ``LEAF`` values; None if there is no such range."""
-        if not by:
-            kept = [[r for r in row[name] if r["open"] and (r["n"] <= LEAF) == short] for name in names]
-            lists = [[{f: F.lit(r[f]) for f in _RANGE} for r in ranges] for ranges in kept]
-            return _in_ranges(needed, columns, by, lists) if any(lists) else None
-        kept = table.select(*by, *[F.filter(name, fits[short]).alias(name) for name in names])
-        most = kept.agg(*[F.max(F.size(name)) for name in names]).first()
-        if not any(most):
-            return None
-        lists = [[F.get(name, F.lit(j)) for j in range(n or 0)] for name, n in zip(names, most)]
-        return _in_ranges(join_null_safe(needed, kept, by), columns, by, lists)
-
-    ranges = _whole_ranges(needed, columns, by)
+    ranges = _whole_ranges(df, columns, by)
     while True:
         table = _lists(ranges, columns, by, probs)
         if by:
             table = stage(table)
+            most = table.agg(*[F.max(f"{kind}{i}").alias(f"{kind}{i}") for i in range(len(columns)) for kind in ("short", "wide")]).first()
         else:
-            row = table.first()
-            table = df.sparkSession.createDataFrame([row], table.schema)
+            most = table.first()
+            table = df.sparkSession.createDataFrame([most], table.schema)
         for i, name in enumerate(names):
             found.append(table.select(*by, F.inline(name)).select(*by, F.lit(i).alias("c"), "size", "told"))
-        listable, wide = inside(short=True), inside(short=False)
+
+        def inside(kind: str) -> DataFrame | None:
+            """The numbers in open ranges of one kind; None if there is no such range."""
+            counts = [most[f"{kind}{i}"] or 0 for i in range(len(columns))]
+            if not any(counts):
+                return None
+            if by:
+                fits = f"<= {LEAF}" if kind == "short" else f"> {LEAF}"
+                kept = table.select(*by, *[F.expr(f"filter({name}, r -> r.open AND r.n {fits})").alias(name) for name in names])
+                lists = [[f"get({name}, {j})" for j in range(n)] for name, n in zip(names, counts)]
+                return _in_ranges(join_null_safe(df, kept, by), columns, by, lists)
+            short = kind == "short"
+            own = [[_literal(r) for r in most[name] if r["open"] and (r["n"] <= LEAF) == short] for name in names]
+            return _in_ranges(df, columns, by, own)
+
+        listable, wide = inside("short"), inside("wide")
         if listable is not None:
             found.append(_listed(listable, by, probs))
         if wide is None:
@@ -168,6 +166,11 @@ def _order_statistics(df: DataFrame, columns: Sequence[str], probs: Sequence[flo
         ranges = _bins(wide, by)
 
 
+def _literal(r: Row) -> str:
+    lo, hi = (f"double('{x!r}')" if math.isinf(x) else f"{x!r}D" for x in (r["lo"], r["hi"]))
+    return f"struct({r['size']}L AS size, {r['before']}L AS before, {lo} AS lo, {hi} AS hi)"
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -185,16 +188,18 @@ def quantiles(
     if approximate:
         levels = F.array(*[F.lit(float(p)) for p in probs])
         return _per_column(df, columns, by, lambda x: F.percentile_approx(x, levels, accuracy))
-    found = _order_statistics(df, columns, probs, by)
-    picks = [F.max(F.col("told")[j]).alias(f"v{j}") for j in range(2 * len(probs))]
-    picked = found.groupBy(*by, "c", "size").agg(*picks)
+    # Own names: a group column may be called like one of those used inside.
+    keys = [f"_by{i}" for i in range(len(by))]
+    needed = df.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], *dict.fromkeys(columns))
+    found = _order_statistics(needed, columns, probs, keys)
+    picked = found.groupBy(*keys, "c", "size").agg(*[F.expr(f"max(told[{j}])").alias(f"_v{j}") for j in range(2 * len(probs))])
     values = []
     for i, p in enumerate(probs):
-        place = (F.col("size") - 1) * F.lit(float(p))
-        lo, hi = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
-        values.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (place - F.floor(place))))
+        lo, hi, place = f"_v{2 * i}", f"_v{2 * i + 1}", f"((size - 1) * {float(p)!r}D)"
+        values.append(f"CASE WHEN {lo} = {hi} THEN {lo} ELSE {lo} + ({hi} - {lo}) * ({place} - floor({place})) END")
     name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("c") + 1)
-    return picked.select(*by, name.alias("column"), F.array(*values).alias("q"))
+    own = [F.col(k).alias(b) for b, k in zip(by, keys)]
+    return picked.select(*own, name.alias("column"), F.expr(f"array({', '.join(values)})").alias("q"))
 
 
 def quantile_struct(df: DataFrame, columns: Sequence[str], prob: float, **kwargs) -> DataFrame:

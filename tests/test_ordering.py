@@ -177,3 +177,9 @@ def test_box_stats_leave_nan_out(spark):
     df = spark.createDataFrame([("a", x) for x in [1.0, 2.0, 3.0, float("nan"), None]], "g string, x double")
     (r,) = profile.box_stats(df, "x", ["g"]).collect()
     assert (r["median"], r["n_outliers"]) == (2.0, 0)
+
+
+def test_quantile_groups_may_have_any_name(spark):
+    df = spark.createDataFrame([(i % 3, float(i), float(-i)) for i in range(90)], "size int, x double, n double")
+    got = {(r["size"], r["column"]): r["q"][0] for r in quantiles.quantiles(df, ["x", "n"], [0.5], ["size"]).collect()}
+    assert got[1, "x"] == 44.5 and got[1, "n"] == -got[1, "x"] and len(got) == 6
