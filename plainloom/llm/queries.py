@@ -112,7 +112,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     index = digest_index.DigestIndex.open(spark, scratch(spark), digest_index.buckets_for(docs))
-    return index.add(docs)
+    found = index.add(docs)
+    index.close()  # the result no longer reads the index
+    return found
 
 
 @query("op12_lexical", sql.LEXICAL)
