@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, NaiveBayes
+from pyspark.ml.classification import (
+    DecisionTreeClassifier,
+    GBTClassifier,
+    LogisticRegression,
+    MultilayerPerceptronClassifier,
+    NaiveBayes,
+    RandomForestClassifier,
+)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
@@ -10,7 +17,7 @@ from pyspark.sql import functions as F
 from plainloom.operators import cluster, models, series
 from plainloom.plans.catalog import query
 from plainloom.plans.modelling import VECTORS_SQL, vector_split
-from plainloom.session import scratch, table
+from plainloom.session import dealt, scratch, stage, table
 from plainloom.sources import readers, writers
 
 
@@ -127,20 +134,40 @@ def adaboost_one_round(spark, sf):
     return scored.select(x[0].alias("l_quantity"), x[1].alias("l_linenumber"), F.round("score", 6).alias("score"))
 
 
-@query(
-    "svm_separable",
-    """SELECT DISTINCT l_quantity::INT AS l_quantity, (l_quantity > 25)::INT AS predicted FROM lineitem
-       WHERE l_quantity NOT BETWEEN 18 AND 32""",
-)
-def svm_separable(spark, sf):
-    """Classes with a gap between them: a linear machine makes no mistake."""
-    li = table(spark, sf, "lineitem").where("l_quantity NOT BETWEEN 18 AND 32").select("l_quantity")
-    rows = models.assemble(li, ["l_quantity"]).withColumn("label", (F.col("l_quantity") > 25).cast("double"))
-    model = models.fit(models.linear_svm(maxIter=50), rows, ["features", "label"])
+SEPARABLE_SQL = """SELECT DISTINCT l_quantity::INT AS l_quantity, (l_quantity > 25)::INT AS predicted FROM lineitem
+    WHERE l_quantity NOT BETWEEN 18 AND 32"""
+
+
+def separable(spark, sf, estimator):
+    """Classes with a gap between them: a sound fit makes no mistake."""
+    li = table(spark, sf, "lineitem").where("l_quantity NOT BETWEEN 18 AND 32")
+    rows = models.assemble(li.select("l_quantity", (F.col("l_quantity") / 50).alias("q")), ["q"])
+    rows = rows.withColumn("label", (F.col("l_quantity") > 25).cast("double"))
+    model = models.fit(estimator, rows, ["features", "label"])
     scored = model.transform(rows.select("l_quantity", "features").distinct())
     return scored.select(F.col("l_quantity").cast("int").alias("l_quantity"), F.col("prediction").cast("int").alias("predicted"))
 
 
+@query("svm_separable", SEPARABLE_SQL)
+def svm_separable(spark, sf):
+    return separable(spark, sf, models.linear_svm(maxIter=50))
+
+
+@query("forest_separable", SEPARABLE_SQL)
+def forest_separable(spark, sf):
+    return separable(spark, sf, RandomForestClassifier(numTrees=10, maxDepth=3, maxBins=64, seed=1))
+
+
+@query("bagging_separable", SEPARABLE_SQL)
+def bagging_separable(spark, sf):
+    return separable(spark, sf, models.bagged_trees(10))
+
+
+@query("mlp_separable", SEPARABLE_SQL)
+def mlp_separable(spark, sf):
+    return separable(spark, sf, MultilayerPerceptronClassifier(layers=[1, 4, 2], maxIter=200, seed=3))
+
+
 def grouped_points(spark, sf):
     """Balances of three groups of customers, far apart."""
     value = (F.col("c_acctbal") / 1000 + 100 * (F.col("c_nationkey") % 3)).alias("x")
@@ -166,6 +193,37 @@ def kmeans_separated(spark, sf):
     return assigned.join(names, "cluster").join(centres, "cluster").select("c_custkey", "cluster_of", "centre")
 
 
+@query(
+    "bisecting_separated",
+    f"""WITH {POINTS_SQL} SELECT c_custkey, least AS cluster_of FROM p, s
+        QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY abs(x - m)) = 1""",
+)
+def bisecting_separated(spark, sf):
+    """The larger part is cut again, between the far groups."""
+    rows = grouped_points(spark, sf)
+    with models.reused(rows) as data:
+        assigned = cluster.bisecting(data, 3).transform(data).select("c_custkey", "cluster")
+        names = assigned.groupBy("cluster").agg(F.min("c_custkey").alias("cluster_of"))
+        return stage(assigned.join(names, "cluster").select("c_custkey", "cluster_of"))
+
+
+@query(
+    "topics_separated",
+    """SELECT c_custkey, min(c_custkey) OVER (PARTITION BY c_nationkey % 2) AS topic_of FROM customer""",
+)
+def topics_separated(spark, sf):
+    """Two kinds of documents without a common word: each has its topic, named by its smallest key."""
+    kind = F.col("c_nationkey") % 2
+    picked = [((F.col("c_custkey") * (7 * i + 3) + i * i) % 10 + 10 * kind).cast("int") for i in range(12)]
+    docs = table(spark, sf, "customer").select("c_custkey", F.array(*picked).alias("words"))
+    counts = F.transform(F.sequence(F.lit(0), F.lit(19)), lambda w: F.size(F.filter("words", lambda x: x == w)).cast("double"))
+    rows = dealt(docs.select("c_custkey", array_to_vector(counts).alias("features")), "c_custkey")
+    with models.reused(rows) as data:
+        labelled = stage(cluster.label_topics(cluster.topics(data, 2, max_iter=40), data).select("c_custkey", "topic"))
+    names = labelled.groupBy("topic").agg(F.min("c_custkey").alias("topic_of"))
+    return labelled.join(names, "topic").select("c_custkey", "topic_of")
+
+
 @query("elbow_separated", f"WITH {POINTS_SQL} SELECT 3 AS k, round(sum((x - m) ** 2), 2) AS sse FROM p JOIN s USING (g)")
 def elbow_separated(spark, sf):
     curve = cluster.elbow(grouped_points(spark, sf), [3], max_iter=50, tol=1e-9)
