@@ -67,25 +67,13 @@ def with_pieces(
     sample = df.select(key.alias("key")).where(F.pmod(F.xxhash64("key"), F.lit(one_in)) == 0)
     every = sample.agg(F.sort_array(F.collect_list("key")).alias("keys"))
     step = F.greatest(F.lit(1), (F.size("keys") / wanted).cast("int"))
-    bounds = F.col("_bounds")
-    known = stage(every.select(F.filter("keys", lambda _, i: i % step == step - 1).alias("bounds"))).scalar()
-    # Binary search for the number of bounds up to the row's key.
-    size = F.size(bounds)
-    begin = F.struct(F.lit(0).alias("low"), size.alias("high"))
-
-    def halve(at: Column, _: Column) -> Column:
-        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
-        goes_up = F.get(bounds, middle) <= key
-        return F.when(at["low"] >= at["high"], at).otherwise(
-            F.struct(
-                F.when(goes_up, middle + 1).otherwise(at["low"]).alias("low"),
-                F.when(goes_up, at["high"]).otherwise(middle).alias("high"),
-            )
-        )
-
-    steps = F.array(*[F.lit(0)] * (MOST_PIECES * 2).bit_length())
-    found = df.withColumn("_bounds", known).withColumn(name, F.aggregate(steps, begin, halve, lambda at: at["low"]))
-    return found.drop("_bounds"), wanted
+    bounds = stage(every.select(F.filter("keys", lambda _, i: i % step == step - 1).alias("bounds"))).scalar()
+    # Binary search for the number of bounds up to the row's key: a step is taken if the bound before its end is no larger.
+    placed, at = df.withColumn("_key", key).withColumn(name, F.lit(0)), F.col(name)
+    for stride in (1 << bit for bit in reversed(range(wanted.bit_length() + 1))):
+        reached = F.coalesce(F.get(bounds, at + F.lit(stride - 1)) <= F.col("_key"), F.lit(False))
+        placed = placed.withColumn(name, F.when(reached, at + F.lit(stride)).otherwise(at))
+    return placed.drop("_key"), wanted
 
 
 def _starts(placed: DataFrame, by: Sequence[str], weight: Column) -> DataFrame:
