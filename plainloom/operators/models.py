@@ -123,8 +123,10 @@ def importance_table(model: Model, names: Sequence[str], like: DataFrame) -> Dat
 class AdaBoost:
     """Two-class boosting of shallow trees: each round weights the rows the last one missed."""
 
-    def __init__(self, rounds: int = 10, depth: int = 1, label: str = "label", seed: int = 1, stage_every: int = 5):
-        self.rounds, self.depth, self.label, self.seed = rounds, depth, label, seed
+    def __init__(
+        self, rounds: int = 10, depth: int = 1, label: str = "label", seed: int = 1, stage_every: int = 5, bins: int = 32
+    ):
+        self.rounds, self.depth, self.label, self.seed, self.bins = rounds, depth, label, seed, bins
         self.stage_every = stage_every
         self.trees: list[tuple[float, Model]] = []
 
@@ -133,7 +135,7 @@ class AdaBoost:
         data = df.withColumn("_w", F.lit(1.0))
         for i in range(self.rounds):
             tree = DecisionTreeClassifier(
-                labelCol=self.label, weightCol="_w", maxDepth=self.depth, seed=self.seed,
+                labelCol=self.label, weightCol="_w", maxDepth=self.depth, maxBins=self.bins, seed=self.seed,
                 predictionCol="_p", rawPredictionCol="_raw", probabilityCol="_prob",
             ).fit(data)
             scored = tree.transform(data).drop("_raw", "_prob")

@@ -128,7 +128,7 @@ def adaboost_one_round(spark, sf):
     """The first round's stump votes with the log odds of its being right."""
     rows = stump_rows(spark, sf)
     with models.reused(rows.select("features", "label")) as data:
-        model = models.AdaBoost(rounds=1).fit(data)
+        model = models.AdaBoost(rounds=1, bins=64).fit(data)
     scored = model.transform(rows.select("features").distinct())
     x = vector_to_array("features")
     return scored.select(x[0].alias("l_quantity"), x[1].alias("l_linenumber"), F.round("score", 6).alias("score"))
