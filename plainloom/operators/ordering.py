@@ -90,10 +90,17 @@ def _starts(placed: DataFrame, by: Sequence[str], weight: Column) -> DataFrame:
 
 
 def _summed(
-    df: DataFrame, by: Sequence[str], order: Sequence[str | Column], own: Column, weight: Column, name: str, total: str | None
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str | Column],
+    own: Column,
+    weight: Column,
+    name: str,
+    total: str | None,
+    piece_rows: int | None,
 ) -> DataFrame:
     """Adds ``own`` over the rows of the group so far, and the group's ``weight``."""
-    placed, pieces = with_pieces(df, by, order, "_piece")
+    placed, pieces = with_pieces(df, by, order, "_piece", piece_rows)
     group = Window.partitionBy(*by, "_piece")
     local = placed.withColumn(name, own.over(group.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
     if pieces == 1:
@@ -111,12 +118,13 @@ def number_rows(
     order: Sequence[str | Column],
     name: str = "position",
     total: str | None = None,
+    piece_rows: int | None = None,
 ) -> DataFrame:
     """1-based position of every row in its ``by`` group under a total, ascending ``order``.
 
     ``total`` adds the group's row count. See ``with_pieces`` for how often ``df`` is read.
     """
-    return _summed(df, by, order, F.row_number(), F.count(F.lit(1)), name, total).withColumn(
+    return _summed(df, by, order, F.row_number(), F.count(F.lit(1)), name, total, piece_rows).withColumn(
         name, F.col(name).cast("long")
     )
 
@@ -130,7 +138,7 @@ def running_total(
     total: str = "total",
 ) -> DataFrame:
     """Cumulative ``weight`` in each ``by`` group plus the group's total weight."""
-    return _summed(df, by, order, F.sum(weight), F.sum(weight), name, total)
+    return _summed(df, by, order, F.sum(weight), F.sum(weight), name, total, None)
 
 
 def positional_slice(
