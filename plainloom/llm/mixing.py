@@ -4,8 +4,8 @@ Each document has an expected number of copies. Within a source the expected cop
 are added up in a fixed order, one random offset per source is added, and a document
 is emitted once for every integer that its step of the running sum crosses. All
 documents of a source have the same expectation, so the running sum at rank i is i
-times it: only a rank is needed, which comes from range partitions, never from a
-window over a whole source. The order is by size, so the words taken differ from the
+times it: only a rank is needed, which is counted in pieces of a source, never in a
+window over a whole one. The order is by size, so the words taken differ from the
 target by about one document at most.
 
 Nulls: a null text has size 0; null sources are one source, ordered last. A source
@@ -28,6 +28,8 @@ from plainloom.session import stage
 WEIGHTS = (3, 1, 2)
 #: Words wanted, as a share of all words.
 SHARE = 1.5
+#: Documents of a source that are ranked in one task, about.
+RANKED_ROWS = 8_192
 #: The most copies a document may be expected to have.
 MOST_COPIES = 2
 
@@ -82,7 +84,7 @@ def systematic_copies(sized: DataFrame, targets: DataFrame, seed: int = 0) -> Da
     ``row`` must differ between rows; it only breaks ties between repeated rows.
     """
     order = ["size", unit_hash(F.col("doc_id"), seed), "doc_id", "row"]
-    ranked = number_rows(sized, ["source"], order, "rank")
+    ranked = number_rows(sized, ["source"], order, "rank", piece_rows=RANKED_ROWS)
     known = lookup(ranked, targets, ["source"], null_safe=True)
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     offset = unit_hash(F.col("source"), seed)

@@ -237,6 +237,14 @@ def test_mix_comes_near_its_targets(odd):
     assert mixed.columns == odd.columns and mixed.count() == sum(r["copies"] for r in plan)
 
 
+def test_mix_does_not_depend_on_the_pieces(odd, monkeypatch):
+    plans = []
+    for rows in (8_192, 20, 3):
+        monkeypatch.setattr(mixing, "RANKED_ROWS", rows)
+        plans.append(by_row(mixing.plan_mix(odd), "doc_id", "size", "source_size", "target", "copies"))
+    assert plans[0] == plans[1] == plans[2]
+
+
 def test_mix_of_nothing(none, odd):
     assert mixing.plan_mix(none).count() == 0 and mixing.mix(none).count() == 0
     wordless = mixing.plan_mix(odd.where("doc_id < 3")).collect()
