@@ -1,7 +1,8 @@
 """Exact k nearest neighbours without forming all pairs.
 
 Training rows belong to the nearest of about sqrt(n) centres, fitted on a sample of
-bounded size. A query visits its nearest cells first, in rounds of growing size; the
+bounded size; in large tables there are fewer, so that cells keep rows enough for the
+queries that are sent to them. A query visits its nearest cells first, in rounds of growing size; the
 distance of its k-th neighbour so far is carried from round to round, and a cell falls
 out once its least possible distance (triangle inequality with the cell's own range of
 distances) is beyond that, so nothing is lost. Cells are cut into blocks and the queries
@@ -25,18 +26,52 @@ from pyspark.sql import functions as F
 from plainloom.operators.textstats import top_per_group
 from plainloom.session import stage
 
-#: The most centres; rows that are sampled for each; how many times more cells each round visits.
-MOST_CENTRES, SAMPLE_EACH, GROWTH = 4_096, 8, 4
+#: The most centres; rows a cell has at least, about, if there are more than ``FEW_CENTRES``; rows that are sampled for each; how many times more cells each round visits.
+MOST_CENTRES, CELL_ROWS, FEW_CENTRES, SAMPLE_EACH, GROWTH = 4_096, 8_192, 64, 8, 4
+#: Numbers that are worked on at once; rows whose visits are worked out at once.
+TILE, SLICE = 1 << 15, 256
 _SLACK = 1e-9  # keeps rounding from cutting off a cell that ties with the bound
 
 
-def _distances(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """Euclidean distances, summed dimension by dimension so equal rows get equal values."""
+def distances(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Euclidean distances, summed dimension by dimension so equal rows get equal values; in tiles that stay in a core's cache."""
     total = np.zeros((len(rows), len(others)))
-    for d in range(rows.shape[1]):
-        diff = rows[:, d, None] - others[None, :, d]
-        total += diff * diff
-    return np.sqrt(total)
+    columns = np.ascontiguousarray(others.T)
+    wide = max(1, TILE // max(1, len(others)))
+    room = np.empty((min(wide, len(rows)), len(others)))
+    for at in range(0, len(rows), wide):
+        some = total[at : at + wide]
+        diff = room[: len(some)]
+        for d in range(rows.shape[1]):
+            np.subtract(rows[at : at + wide, d, None], columns[d], out=diff)
+            np.multiply(diff, diff, out=diff)
+            some += diff
+    return np.sqrt(total, out=total)
+
+
+def _nearest(rows: np.ndarray, others: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, other, distance) of the ``k`` nearest others of every row, ties by place.
+
+    A matrix product tells about how far apart rows are; the distances themselves are
+    computed for those that its rounding leaves in question.
+    """
+    sizes, own = (others * others).sum(axis=1), (rows * rows).sum(axis=1)
+    about = own[:, None] + sizes - 2.0 * (rows @ others.T)
+    about[np.isnan(about)] = np.inf
+    slack = 8.0 * (rows.shape[1] + 8) * np.finfo(float).eps * (own + sizes.max())
+    limit = np.partition(about, k - 1, axis=1)[:, k - 1] + slack
+    row, other = np.nonzero(about <= limit[:, None])
+    far = np.zeros(len(row))
+    for at in range(0, len(row), TILE):
+        left, right = rows[row[at : at + TILE]].T, others[other[at : at + TILE]].T
+        for d in range(rows.shape[1]):
+            diff = left[d] - right[d]
+            far[at : at + TILE] += diff * diff
+    far = np.sqrt(far)
+    order = np.lexsort((other, far, row))
+    row, other, far = row[order], other[order], far[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    return row[place < k], other[place < k], far[place < k]
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -52,7 +87,7 @@ def _fitted_centres(train: DataFrame, key: str, vector: str, wanted: int, steps:
     sample = np.array([r[0] for r in rows], dtype=np.float64)
     centres = sample[:wanted].copy()
     for _ in range(steps):
-        nearest = _distances(sample, centres).argmin(axis=1)
+        nearest = distances(sample, centres).argmin(axis=1)
         counts = np.bincount(nearest, minlength=len(centres))
         sums = np.zeros_like(centres)
         np.add.at(sums, nearest, sample)
@@ -68,7 +103,7 @@ def nearest_neighbours(
     k: int = 5,
     n_centres: int | None = None,
     block_rows: int = 20_000,
-    chunk_rows: int = 2_000,
+    chunk_rows: int = 10_000,
     visited: list[int] | None = None,
 ) -> DataFrame:
     """(query, neighbour, distance): the k closest training rows of every query row, ties by key.
@@ -77,14 +112,15 @@ def nearest_neighbours(
     visits each round had.
     """
     rows = train.count()
-    wanted = n_centres or min(MOST_CENTRES, max(1, math.isqrt(rows)))
+    wanted = n_centres or min(MOST_CENTRES, max(1, math.isqrt(rows)), max(FEW_CENTRES, rows // CELL_ROWS))
     centres = _fitted_centres(train, key, vector, wanted, steps=5)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if len(pdf):
-                d = _distances(_matrix(pdf["vec"]), centres)
-                yield pdf.assign(cell=d.argmin(axis=1), dist=d.min(axis=1))
+            for at in range(0, len(pdf), SLICE):
+                some = pdf.iloc[at : at + SLICE]
+                d = distances(_matrix(some["vec"]), centres)
+                yield some.assign(cell=d.argmin(axis=1), dist=d.min(axis=1))
 
     train_rows = train.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vec"))
     assigned = stage(train_rows.mapInPandas(assign, "id long, vec array<double>, cell int, dist double"))
@@ -105,9 +141,9 @@ def nearest_neighbours(
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                for at in range(0, len(pdf), 1_024):
-                    some = pdf.iloc[at : at + 1_024]
-                    d = _distances(_matrix(some["vec"]), held)
+                for at in range(0, len(pdf), SLICE):
+                    some = pdf.iloc[at : at + SLICE]
+                    d = distances(_matrix(some["vec"]), held)
                     # No more than k rows are as far as their cell's centre and their own distance to it.
                     bound = np.partition(d[:, owner] + offset, enough - 1, axis=1)[:, enough - 1]
                     bound = np.fmin(bound, some["kth"].to_numpy(dtype=float)) + _SLACK
@@ -129,19 +165,10 @@ def nearest_neighbours(
         t = t.sort_values("id")
         ids, targets, take = t["id"].to_numpy(), _matrix(t["vec"]), min(k, len(t))
         parts = []
-        for start in range(0, len(q), 256):
-            some = q.iloc[start : start + 256]
-            d = _distances(_matrix(some["qvec"]), targets)
-            pick = np.argsort(d, axis=1, kind="stable")[:, :take]
-            parts.append(
-                pd.DataFrame(
-                    {
-                        "query": np.repeat(some["query"].to_numpy(), take),
-                        "neighbour": ids[pick].ravel(),
-                        "distance": np.take_along_axis(d, pick, axis=1).ravel(),
-                    }
-                )
-            )
+        for start in range(0, len(q), SLICE):
+            some = q.iloc[start : start + SLICE]
+            row, other, far = _nearest(_matrix(some["qvec"]), targets, take)
+            parts.append(pd.DataFrame({"query": some["query"].to_numpy()[row], "neighbour": ids[other], "distance": far}))
         return pd.concat(parts)
 
     query_rows = queries.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vec"))

@@ -178,3 +178,23 @@ def test_top_per_group_below_and_above_the_limit(spark, k):
     df = spark.range(5_000).select((F.col("id") % 2).alias("g"), "id").repartition(6)
     got = textstats.top_per_group(df, ["g"], ["id"], k).groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("m")).collect()
     assert {r["g"]: (r["n"], r["m"]) for r in got} == {0: (k, 2 * k - 2), 1: (k, 2 * k - 1)}
+
+
+def test_nearest_rows_of_copies_and_of_large_offsets():
+    rng = np.random.default_rng(7)
+    others = np.concatenate([np.repeat(rng.normal(size=(1, 8)), 40, axis=0), rng.normal(size=(60, 8))]) + 1e4
+    rows = np.concatenate([others[:3], rng.normal(size=(20, 8)) + 1e4])
+    row, other, far = neighbours._nearest(rows, others, 5)
+    every = neighbours.distances(rows, others)
+    wanted = np.argsort(every, axis=1, kind="stable")[:, :5]
+    assert other.reshape(-1, 5).tolist() == wanted.tolist() and far.reshape(-1, 5).tolist() == np.take_along_axis(every, wanted, axis=1).tolist()
+
+
+def test_cells_of_a_large_table_keep_rows_enough(spark, monkeypatch):
+    # with a centre for sqrt(n) rows a query of unclustered rows is sent to as many cells
+    monkeypatch.setattr(neighbours, "FEW_CENTRES", 2)
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(rng.normal(size=(900, 16)))], "id long, v array<double>")
+    visited = []
+    got = neighbours.nearest_neighbours(df.where("id < 20"), df, "id", "v", 3, visited=visited).collect()
+    assert len(got) == 60 and sum(visited) <= 40
