@@ -117,3 +117,34 @@ def test_profiles_are_merged_from_stored_parts(spark):
             assert abs(np.searchsorted(values, q) / len(values) - p) < 0.03
     one_day = sketches.profile(stored.where("part = 1")).where("column = 'x'").first()
     assert one_day["rows"] == df.where("day = 1").count()
+
+
+@pytest.mark.parametrize("task_edges", [0, 2_000_000])
+def test_tree_of_many_small_blocks_and_ties(spark, task_edges):
+    # whole numbers: many equal distances; the tree, edge by edge, is that of one block
+    rng = np.random.default_rng(4)
+    points = np.unique(rng.integers(0, 6, size=(70, 2)), axis=0).astype(float)
+    rows = frame(spark, points)
+    alone = linkage.spanning_tree(rows, "id", "v").collect()
+    apart = linkage.spanning_tree(rows, "id", "v", 9, task_edges)
+    assert sorted(apart.collect()) == sorted(alone)
+    assert sorted(r["height"] for r in alone) == pytest.approx(heights_of(points))
+    height = heights_of(points)[-1] - 1e-9
+    found = [sorted(linkage.cut(apart, rows, "id", height, n).collect()) for n in (0, 2_000_000)]
+    assert found[0] == found[1] and len({r["cluster"] for r in found[0]}) == 1 + sum(r["height"] > height for r in alone)
+
+
+def test_rows_without_a_vector_stay_alone(spark):
+    rows = spark.createDataFrame([(1, [0.0]), (2, None), (3, [0.5]), (4, [9.0])], "id long, v array<double>")
+    tree = linkage.spanning_tree(rows, "id", "v")
+    assert sorted((r["a"], r["b"], r["height"]) for r in tree.collect()) == [(1, 3, 0.5), (3, 4, 8.5)]
+    assert sorted(tuple(r) for r in linkage.cut(tree, rows, "id", 1.0).collect()) == [(1, 1), (2, 2), (3, 1), (4, 4)]
+
+
+def test_a_tile_of_pairs_is_grown_at_once():
+    # one tree a pair of tiles, cut down to the tree of both blocks
+    rng = np.random.default_rng(6)
+    far = rng.uniform(size=(30, 20))
+    a, b, d = linkage._grown(np.arange(50), far, 30)
+    taken, label = linkage._forest(a, b, linkage._ranks(a, b, d), 50)
+    assert taken.all() and len(a) == 49 and len(set(label.tolist())) == 1
