@@ -198,3 +198,22 @@ def test_cells_of_a_large_table_keep_rows_enough(spark, monkeypatch):
     visited = []
     got = neighbours.nearest_neighbours(df.where("id < 20"), df, "id", "v", 3, visited=visited).collect()
     assert len(got) == 60 and sum(visited) <= 40
+
+
+def test_terms_of_a_row_of_its_own_are_not_shuffled(spark):
+    rows = [(1, "b a b"), (2, "a"), (2, "a c"), (None, "x"), (None, "x y"), (3, ""), (4, None), (5, "z z z")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    tf = textstats.term_frequencies(df, "id", F.filter(F.split("t", " "), lambda w: w != ""))
+    wanted = {(1, "a", 1), (1, "b", 2), (2, "a", 2), (2, "c", 1), (None, "x", 2), (None, "y", 1), (5, "z", 3)}
+    got = [tuple(r) for r in tf.collect()]
+    assert set(got) == wanted and len(got) == len(wanted)
+    alone = textstats.term_frequencies(df.where("id IN (1, 5)"), "id", F.split("t", " "))
+    plan = alone._jdf.queryExecution().executedPlan().toString()
+    # the only shuffle of terms is that of the rows that share a key
+    assert plan.count("hashpartitioning(id") == 1 and {tuple(r) for r in alone.collect()} == {(1, "a", 1), (1, "b", 2), (5, "z", 3)}
+
+
+def test_map_leaves_out_tokens_the_rule_keeps(spark):
+    df = spark.createDataFrame([(["running", "a", "cars"],), (["a", "running"],)], "w array<string>")
+    found = textstats.vocabulary_map(df, F.col("w"), lambda w: F.regexp_replace(w, "(ning|s)$", ""))
+    assert sorted(tuple(r) for r in found.collect()) == [("cars", "car"), ("running", "run")]
