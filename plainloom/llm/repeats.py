@@ -16,8 +16,12 @@ where equal ones must meet:
    merge sort, in which two suffixes are compared by a binary search for their common
    extension with prefix polynomial hashes. Neighbours that agree for LENGTH bytes are
    compared byte by byte; should hashes have lied, their class is sorted by its bytes.
-   Anchors in very many regions are sorted in blocks, and strings that are alone in
-   their block are matched between blocks by a digest of 128 bits.
+4. Anchors in very many regions are told apart by more than SEED bytes first. Strings
+   whose anchor stands ``width`` neighbouring places deep share all but ``width`` of
+   their bytes: such pieces of regions meet by those bytes as regions meet by their
+   anchor, and are counted as regions are. What is still crowded is cut finer once more;
+   what then remains is sorted in blocks, and strings that are alone in their block are
+   matched between blocks by a digest of 128 bits.
 
 Nulls count as empty texts. Texts shorter than LENGTH bytes lose nothing. Rows that
 repeat a text are texts of their own, so each copy of a long one goes whole. An empty
@@ -28,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -44,6 +49,8 @@ LENGTH, SEED = 200, 40
 PIECE = 1 << 20
 #: Regions of one anchor that are sorted together, and regions a task, about.
 BLOCK_REGIONS, TASK_REGIONS = 1_500, 6_000
+#: Places of the anchor in a piece of a crowded region, coarse cut first.
+WIDTHS = 32, 4
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _PLACES = 24  # low bits that hold a place within a piece
 
@@ -337,6 +344,61 @@ def cut_regions(texts: DataFrame, marks: DataFrame) -> DataFrame:
     return single.select("anchor", "region", "twice", "regions", "one.*")
 
 
+def cut_pieces(regions: DataFrame, width: int) -> DataFrame:
+    """Regions cut by the depth of their anchor; strings of one piece share all but ``width`` - 1 bytes, which are its new anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, anchors, digests, packed, content = [], [], [], [], []
+            columns = (batch.column(c).to_pylist() for c in ("anchor", "packed", "content"))
+            for row, (anchor, region, raw) in enumerate(zip(*columns)):
+                first, last, place = _unpack(region)
+                for k in range((place - last) // width, (place - first) // width + 1):
+                    a, b = max(first, place - (k + 1) * width + 1), min(last, place - k * width)
+                    shared = raw[place - k * width - first : place - (k + 1) * width + 1 - first + LENGTH]
+                    own = raw[a - first : b - first + LENGTH]
+                    rows.append(row)
+                    anchors.append(xxhash.xxh3_64_digest(shared + anchor.to_bytes(8, "little", signed=True) + bytes([k])))
+                    digests.append(xxhash.xxh3_128_digest(own + bytes([place - a])))
+                    packed.append(_pack(a, b, place))
+                    content.append(own)
+            where = pa.array(rows, pa.int64())
+            region, region2 = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2).T
+            arrays = [pa.array(c) for c in (np.frombuffer(b"".join(anchors), dtype=np.int64), region, region2)]
+            arrays += [batch.column(c).take(where) for c in ("twice", "t1", "t2")]
+            arrays += [pa.array(packed, pa.int64()), pa.array(content, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["anchor", "region", "region2", "twice", "t1", "t2", "packed", "content"])
+
+    read = regions.select("anchor", "twice", "t1", "t2", "packed", "content")
+    return read.mapInArrow(run, "anchor long, region long, region2 long, twice boolean, t1 long, t2 long, packed long, content binary")
+
+
+def thinned(regions: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Regions that are to be sorted, crowded ones in pieces, and (t1, t2, start, stop) of pieces that stand twice.
+
+    Of equal pieces one stays. Pieces whose shared bytes stand once go.
+    """
+    columns = ["anchor", "region", "twice", "regions", "packed", "t1", "t2", "content"]
+    parts, covered = [regions.select(*columns)], []
+    for width in WIDTHS:
+        crowded = parts[-1].where(F.col("regions") > BLOCK_REGIONS)
+        if crowded.isEmpty():
+            break
+        pieces = stage(cut_pieces(crowded, width))
+        same = ["anchor", "region", "region2"]
+        one = F.min_by(F.struct("t1", "t2", "packed", "content"), F.struct("t1", "t2", "packed"))
+        counts = stage(pieces.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("twice"), one.alias("one")))
+        totals = counts.groupBy("anchor").agg(F.count(F.lit(1)).cast("int").alias("regions")).where("regions > 1")
+        single = counts.join(totals, "anchor").select("anchor", "region", (F.col("twice") | (F.col("n") > 1)).alias("twice"), "regions", "one.*")
+        start = F.shiftright("packed", 20)
+        stop = start + F.shiftright("packed", 10).bitwiseAND(F.lit(1023).cast("long")) + LENGTH
+        again = pieces.where("NOT twice").drop("twice", "content").join(counts.where("n > 1").select(*same), same)
+        covered.append(again.select("t1", "t2", start.alias("start"), stop.alias("stop")))
+        parts[-1] = parts[-1].where(F.col("regions") <= BLOCK_REGIONS)
+        parts.append(stage(single))
+    return reduce(DataFrame.unionByName, parts), covered
+
+
 def covered_stretches(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """The texts with their keys, and (t1, t2, stretches): start and stop of covered bytes, in any order."""
     texts = docs.select(F.col("doc_id"), whole(text).alias("text")).select("doc_id", "text", *text_key())
@@ -349,9 +411,10 @@ def covered_stretches(docs: DataFrame, text: str = "text") -> tuple[DataFrame, D
     # A set: copies of a text say the same.
     marks = stage(placed.groupBy("t1", "t2").agg(F.collect_set(lasting).alias("whole"), F.collect_set(sought).alias("marks")))
     regions = cut_regions(long_texts, marks.where(F.size("marks") > 0).select("t1", "t2", "marks"))
+    regions, covered = thinned(stage(regions))
     blocks = F.ceil(F.col("regions") / BLOCK_REGIONS).cast("int")
     regions = regions.withColumn("blocks", blocks).withColumn("block", F.pmod("region", F.col("blocks")).cast("int"))
-    regions = stage(regions.drop("region", "regions"))
+    regions = regions.drop("region", "regions")
     tasks = max(1, -(-regions.count() // TASK_REGIONS))
     dealt = regions.withColumn("task", F.pmod(F.xxhash64("anchor", "block"), F.lit(tasks)))
     found = stage(
@@ -363,7 +426,9 @@ def covered_stretches(docs: DataFrame, text: str = "text") -> tuple[DataFrame, D
     same = ["anchor", "lone", "lone2"]
     matched = between.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     more = between.where("NOT covered").join(matched, same).select("t1", "t2", "start", "stop")
-    sorted_out = found.where("lone = 0").select("t1", "t2", "start", "stop").union(more)
+    sorted_out = found.where("lone = 0").select("t1", "t2", "start", "stop")
+    for part in (more, *covered):
+        sorted_out = sorted_out.unionByName(part)
     sorted_out = sorted_out.groupBy("t1", "t2").agg(F.collect_set(F.struct("start", "stop")).alias("sorted"))
 
     def stretch(found: Column) -> Column:

@@ -141,6 +141,28 @@ def test_repeats_equal_brute_force(spark, odd, monkeypatch, block, task):
     assert by_row(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == without_repeats(rows)
 
 
+@pytest.mark.parametrize("block", [2, 20])
+def test_crowded_anchors_are_told_apart(spark, monkeypatch, block):
+    """A common line between other words, near copies, and passages that go on alike for some bytes."""
+    monkeypatch.setattr(repeats, "BLOCK_REGIONS", block)
+    seen, thinned = [], repeats.thinned
+    monkeypatch.setattr(repeats, "thinned", lambda regions: seen.append((regions, thinned(regions))) or seen[-1][1])
+    own = random.Random(4)
+    noise = lambda n: "".join(own.choice("abcdefgh ") for _ in range(n))
+    line, stem, passage = noise(60), noise(700), noise(260)
+    rows = [(i, noise(300) + line + noise(300)) for i in range(60)]
+    common = spark.createDataFrame(rows, "doc_id long, text string")
+    assert by_row(repeats.remove_repeats(common), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == without_repeats(rows)
+    regions, (left, _) = seen.pop()
+    assert regions.agg({"regions": "max"}).first()[0] > 40 and left.where(f"regions > {block}").isEmpty()
+    for i in range(60):
+        at = own.randrange(len(stem))
+        rows += [(100 + i, stem[:at] + own.choice("xyz") + stem[at + 1 :]), (200 + i, noise(90) + passage + noise(90))]
+    rows += [(300, rows[70][1]), (301, None), (302, noise(20) + rows[80][1][:420])]
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert by_row(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == without_repeats(rows)
+
+
 def test_repeats_survive_colliding_hashes(spark, monkeypatch):
     """Strings that agree in 150 bytes get one hash: the bytes must tell them apart."""
     real = repeats.Suffixes.hashes
