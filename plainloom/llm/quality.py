@@ -140,7 +140,7 @@ def fit_thresholds(rows: list[np.ndarray], values: list[np.ndarray], grades: np.
     for t in range(1, rounds + 1):
         _, grad = likelihood.at(param)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
-        param = param - 0.3 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+        param = param - 0.3 * min(1.0, 200 / t) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
     steps = np.exp(param[BUCKETS + 1 :])
     return Model(param[:BUCKETS], param[BUCKETS] + np.concatenate([[0.0], np.cumsum(steps)]))
 
