@@ -8,6 +8,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from plainloom.operators import cluster, metrics, models, neighbours, recommend, textstats
+from plainloom.plans import modelling
 
 
 @pytest.fixture(scope="module")
@@ -150,3 +151,21 @@ def test_comparison_beats_majority(spark):
     df = models.assemble(spark.range(200).select((F.col("id") / 10.0).alias("x"), (F.col("id") > 120).cast("double").alias("label")), ["x"])
     out = models.compare_classifiers({"logistic": LogisticRegression(), "tree": DecisionTreeClassifier()}, df, df).collect()
     assert {r["model"] for r in out} == {"logistic", "tree"} and all(r["accuracy"] > r["majority"] for r in out)
+
+
+def test_word2vec_documents_tokenises_each_row_once(spark, tmp_path, monkeypatch):
+    words = [f"w{i}" for i in range(30)]
+    rows = [(i, "en", " ".join(words[(i * j) % 30] for j in range(1, 20))) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    seen = spark.sparkContext.accumulator(0)
+    token_rows = modelling.token_rows
+
+    @F.udf("array<string>")
+    def counted(tokens):
+        seen.add(1)
+        return tokens
+
+    monkeypatch.setattr(modelling, "token_rows", lambda s, sf: token_rows(s, sf).withColumn("tokens", counted("tokens")))
+    out = modelling.word2vec_documents(spark, str(tmp_path)).collect()
+    assert sum(r["n"] for r in out) == len(rows) and len({r["cluster"] for r in out}) == len(out)
+    assert seen.value == len(rows)
